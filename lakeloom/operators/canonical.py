@@ -6,7 +6,7 @@ canonical column rules; ``canonical_columns`` is a pure function of
 (the columns actually present, the rules) that returns the projection to add.
 Unit-testable without data, and stable for streaming (schema known upfront).
 
-Rule kinds (applied only when the target column is absent):
+Rule kinds (build the target when absent, fill its NULLs when present):
 
 * ``alias``    -- copy the first present source column;
 * ``derive``   -- apply a function to the first present source column;
@@ -39,23 +39,33 @@ class Rule:
 
 
 def canonical_columns(present: Sequence[str], rules: Sequence[Rule]) -> dict[str, Column]:
+    """Columns to add or fill.
+
+    A target that is absent is built from its rule. A target that exists but
+    may be NULL on some rows (files of both shapes read together) is filled
+    row by row from the same rule: ``coalesce(target, rule)``.
+    """
     have = set(present)
     out: dict[str, Column] = {}
     for r in rules:
-        if r.target in have or r.target in out:
+        if r.target in out:
             continue
         srcs = [s for s in r.sources if s in have or s in out]
         col_of = (lambda s: out[s] if s in out else F.col(s))
+        built = None
         if r.kind == "const":
-            out[r.target] = F.lit(r.value).cast(r.dtype)
+            built = F.lit(r.value).cast(r.dtype)
         elif r.kind == "coalesce" and srcs:
-            out[r.target] = F.coalesce(*[col_of(s) for s in srcs]).cast(r.dtype)
+            built = F.coalesce(*[col_of(s) for s in srcs]).cast(r.dtype)
         elif r.kind == "alias" and srcs:
-            out[r.target] = col_of(srcs[0]).cast(r.dtype)
+            built = col_of(srcs[0]).cast(r.dtype)
         elif r.kind == "derive" and srcs:
-            out[r.target] = r.fn(col_of(srcs[0])).cast(r.dtype)
+            built = r.fn(col_of(srcs[0])).cast(r.dtype)
+        if r.target in have:
+            if built is not None:
+                out[r.target] = F.coalesce(F.col(r.target).try_cast(r.dtype), built)
         else:
-            out[r.target] = F.lit(None).cast(r.dtype)
+            out[r.target] = built if built is not None else F.lit(None).cast(r.dtype)
     return out
 
 

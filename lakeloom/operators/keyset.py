@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import freeze
 
@@ -25,9 +26,14 @@ _POS = "__pos"
 
 
 def _typed(df: DataFrame, col: str, value) -> Column:
+    """A cursor value as a literal of the column's type (struct for composite keys)."""
     if isinstance(value, Column):
         return value
-    return F.lit(value).cast(df.schema[col].dataType)
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(value, dtype.fields)])
+    return F.lit(value).cast(dtype)
 
 
 def cursor_filter(df: DataFrame, mode: str, wm: str | None, pk: str | None,

@@ -494,3 +494,7 @@ RELATIONAL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders
     f"SELECT '{t}' AS table_name, COUNT(*) AS total_rows FROM {t}" for t in RELATIONAL_TABLES))
 def q_table_counts(spark, sf):
     return labelled_counts({t: S.table(spark, sf, t) for t in RELATIONAL_TABLES})
+
+
+# Round-trip (files, writers, streaming) queries register themselves on import.
+from . import catalog_io  # noqa: E402,F401
