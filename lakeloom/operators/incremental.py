@@ -46,7 +46,39 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
 def write_partition_upsert(updates: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Upsert where the unique key is the partition column: overwrite only the
     partitions present in ``updates``."""
-    (updates.write.mode("overwrite")
+    # Rebalance on the partition columns first: each task then writes whole
+    # partitions (one file per value instead of one per task and value), and
+    # AQE still splits a hot value or merges tiny ones.
+    (updates.hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols)
      .parquet(path))
+
+
+def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str],
+                      partition_cols: Sequence[str]) -> None:
+    """Upsert by ``keys`` into a table partitioned more coarsely than the key
+    (e.g. a daily mart stored by month): only the partitions the updates touch
+    are read, merged (old rows whose key is not updated + all updates) and
+    replaced; every other partition is left as it is.
+
+    The merged partitions are checkpointed before the overwrite, because a
+    job may not overwrite files it is still reading.
+    """
+    from pyspark.errors import AnalysisException
+
+    from ..session import freeze
+
+    spark = updates.sparkSession
+    keys, partition_cols = list(keys), list(partition_cols)
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException:
+        target = None
+    if target is None:
+        merged = updates
+    else:
+        touched = updates.select(*partition_cols).distinct()
+        current = target.join(touched, partition_cols, "left_semi")
+        merged = freeze(upsert_by_key(current, updates, keys))
+    write_partition_upsert(merged, path, partition_cols)
