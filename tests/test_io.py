@@ -110,3 +110,30 @@ def test_extract_resumes_and_is_chunked(spark, tmp_out):
 def test_cluster_by_keeps_rows(spark):
     df = spark.range(500).select((F.col("id") % 7).alias("a"), (F.col("id") % 11).alias("b"), "id")
     assert sorted(W.cluster_by(df, ["a", "b"], 4).collect()) == sorted(df.collect())
+
+
+def test_pipeline_end_to_end_and_rerun_is_idempotent(spark, tmp_out):
+    from lakeloom.plans import standins as S
+    from lakeloom.plans.pipeline import run_pipeline
+    from lakeloom.registry import CUSTOMERS, ORDERS
+
+    sf = "/root/testdata/sf0.001"
+    base = tmp_out("pipe")
+    run = dt.datetime(2024, 3, 1, 2, tzinfo=dt.timezone.utc)
+    extract_to_raw(spark, S.db_orders(spark, sf), ORDERS, f"{base}/raw", f"{base}/ctl",
+                   "initial", chunk_size=500, run_ts=run)
+    cust = S.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.col("c_name").alias("customer_unique_id"), F.lit("00000").alias("customer_zip_code_prefix"),
+        F.col("c_mktsegment").alias("customer_city"), F.lit("SP").alias("customer_state"))
+    extract_to_raw(spark, cust, CUSTOMERS, f"{base}/raw", f"{base}/ctl", "initial", run_ts=run)
+    r1 = run_pipeline(spark, f"{base}/raw", f"{base}/lake", ("orders", "customers"), run_ts=run)
+    assert r1["bronze.orders"] == 1500 and r1["bronze.customers"] == 150
+    r2 = run_pipeline(spark, f"{base}/raw", f"{base}/lake", ("orders", "customers"), run_ts=run)
+    assert r2["bronze.orders"] == 0                                   # no file loaded twice
+    assert W.read_current(spark, f"{base}/lake/silver/orders").count() == 1500
+    assert spark.read.parquet(f"{base}/lake/gold/fact_orders").count() == 1500
+    assert W.read_current(spark, f"{base}/lake/gold/dim_customer").filter("is_current").count() == 150
+    assert spark.read.parquet(f"{base}/lake/gold/daily_revenue_mart").count() > 0
+    runs = control.job_runs(spark, f"{base}/lake/_control/job_runs").collect()
+    assert [r.status for r in runs] == ["SUCCESS", "SUCCESS"]
