@@ -10,10 +10,11 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame,
                 parent_key: str) -> DataFrame:
     """Distinct child keys without a parent, with their row counts.
 
-    The child side is aggregated per key *before* the join (partial
-    aggregation runs map-side), so a hot foreign key reaches the join as one
-    row instead of a third of the table. A NULL key never matches and counts
-    as an orphan, like ``LEFT JOIN ... WHERE parent.key IS NULL``.
+    Written as an explicit anti join. Catalyst may push it below the per-key
+    count; then a small parent side becomes a broadcast anti join (no shuffle
+    of the child on its key) and a large one a sort-merge anti join whose hot
+    partitions AQE splits. A NULL key never matches and counts as an orphan,
+    like ``LEFT JOIN ... WHERE parent.key IS NULL``.
     """
     per_key = child.groupBy(F.col(child_key).alias("__k")).agg(F.count(F.lit(1)).alias("rows"))
     parents = parent.select(F.col(parent_key).alias("__p"))

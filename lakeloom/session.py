@@ -37,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Checkpoints used to freeze range cuts are removed once unreferenced.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -137,3 +137,22 @@ def test_pipeline_end_to_end_and_rerun_is_idempotent(spark, tmp_out):
     assert spark.read.parquet(f"{base}/lake/gold/daily_revenue_mart").count() > 0
     runs = control.job_runs(spark, f"{base}/lake/_control/job_runs").collect()
     assert [r.status for r in runs] == ["SUCCESS", "SUCCESS"]
+
+
+def test_catalog_helpers(spark, tmp_out):
+    from lakeloom.sources.tables import first_existing, list_tables, preview, table_or_none
+
+    path = tmp_out("catalog_tbl")
+    spark.range(10).write.parquet(path)
+    names = W.ensure_layers(spark, "devtest")
+    assert "devtest_gold" in names
+    W.register_table(spark, "devtest_gold.numbers", path, comment="ten numbers",
+                     properties={"quality": "gold"})
+    assert "numbers" in list_tables(spark, "devtest_gold")
+    assert preview(spark, "numbers", 3, database="devtest_gold").count() == 3
+    with pytest.raises(LookupError):
+        preview(spark, "nope", 3, database="devtest_gold")
+    assert table_or_none(spark, "devtest_gold.missing") is None
+    assert first_existing(spark, "devtest_gold.missing", "devtest_gold.numbers").count() == 10
+    W.materialise(spark.range(2), "staging_two", as_view=True)
+    assert spark.table("staging_two").count() == 2
