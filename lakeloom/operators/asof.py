@@ -42,9 +42,10 @@ def as_of_join(facts: DataFrame, fact_key: str, fact_ts: str, versions: DataFram
         F.lit(None).cast(facts.select(F.struct(*fact_cols)).schema[0].dataType).alias("__fact"),
         ver.alias(_V))
     order = ["__k", _T, _KIND]
-    n = num_partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    u = freeze(f.unionByName(v).repartitionByRange(n, *order)
-               .withColumn(_SEG, F.spark_partition_id()))
+    both = f.unionByName(v)
+    both = (both.repartitionByRange(num_partitions, *order) if num_partitions
+            else both.repartitionByRange(*order))
+    u = freeze(both.withColumn(_SEG, F.spark_partition_id()))
 
     w = Window.partitionBy(_SEG, "__k").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -85,8 +85,8 @@ def assign_chunks(df: DataFrame, order: Sequence[str], chunk_size: int, first_ch
     checkpointed once, so the count pass sees exactly the same cut.
     """
     order = list(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
     ranged = ranged.withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
