@@ -8,10 +8,11 @@ own l from the estimated number of candidates its prefix brings; a pair is
 verified only if the two prefixes share min(l, l') tokens.
 
 * ``classes``: equal sets collapse to one class (64-bit fingerprint).
-* ``frequent_tokens``: counts of *all* tokens of all documents, from which the
-  ``FREQUENT`` most frequent are kept as a fixed-size table (the proven bound of
-  what is shipped to the tasks). It only shapes the order and the estimates; any
-  order gives the same, whole result.
+* ``token_counts``: counts of *all* tokens of all documents. Two summaries of
+  proven size go to the tasks: the most frequent tokens (``FREQUENT`` at most),
+  which shape the order and the estimates (any order gives the same, whole
+  result), and a bitmap of ``BITMAP_BITS`` at most that holds every repeated
+  token, so that tokens outside it, which surely stand alone, are not sent.
 * ``live_postings``: prefix tokens found in two or more classes.
 * ``linked_components``: rounds link the members of every posting list to one
   member of it (linear in the list), and only classes still in different
@@ -47,10 +48,12 @@ from lakeloom.llm.common import (
 
 WORDS = 5
 PERCENT = 80
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
+BITMAP_BITS = 1 << 27
+SETS_BITS = 1 << 26
 MAX_MATCH = 8
 VERIFY_COST = 20.0
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 _FLUSH = 1 << 21
 
 
@@ -116,11 +119,41 @@ def _summed(parts):
     return key, np.bincount(where, weights=cnt).astype(np.int64)
 
 
-def frequent_tokens(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted upper 32 bits, count) of the ``keep`` most frequent shingles of all documents.
+class TokenCounts:
+    """What the tasks get: sorted frequent keys with their counts, and the bitmap of repeated keys."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, bitmap: np.ndarray):
+        self.keys, self.counts, self.bitmap = keys, counts, bitmap
+
+    def estimate(self, tokens: np.ndarray) -> np.ndarray:
+        """Count of each token; 1 for a token that surely stands alone, 2 for a repeated one not among the frequent."""
+        top = (tokens >> np.uint64(32)).astype(np.uint32)
+        at = top & np.uint32(len(self.bitmap) * 8 - 1)
+        out = 1 + (self.bitmap[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & np.uint8(1)).astype(np.int64)
+        if len(self.keys):
+            where = np.minimum(np.searchsorted(self.keys, top), len(self.keys) - 1)
+            out = np.where(self.keys[where] == top, self.counts[where], out)
+        return out
+
+
+def _bitmap(ids, most: int) -> np.ndarray:
+    """Bits of the lowest bits of column id: about 16 bits an id, ``most`` at most."""
+    bits = 1 << min(most.bit_length() - 1, max(15, (16 * ids.count()).bit_length()))
+    place = F.pmod("id", F.lit(bits)) + 1
+    rows = (ids.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).toPandas())
+    out = np.zeros((bits >> 15, 4096), np.uint8)
+    for b, m in zip(rows["b"], rows["m"], strict=True):
+        out[b - 1] = np.frombuffer(bytes(m), np.uint8)
+    return out.ravel()
+
+
+def token_counts(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> TokenCounts:
+    """Counts of all shingles of all documents, by the upper 32 bits of their hash.
 
     Tokens travel as sorted arrays, one row per range of tokens and some two
-    million tokens; what returns to the driver is bounded by ``keep``.
+    million tokens. The frequent ones are all those of a count at which no more
+    than ``keep`` tokens are as frequent.
     """
     ranges = 1024
 
@@ -164,12 +197,20 @@ def frequent_tokens(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -
                                              names=["key", "n"])
 
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (docs.select(F.col("text").cast("string")).mapInArrow(count, "part int, keys binary, counts binary")
-            .repartition(spread, "part").mapInArrow(add, "key long, n long")
-            .orderBy(F.desc("n"), "key").limit(keep).toPandas())
+    found = stored(docs.select(F.col("text").cast("string")).mapInArrow(count, "part int, keys binary, counts binary")
+                   .repartition(spread, "part").mapInArrow(add, "key long, n long"), "ngram-counts")
+    level = F.floor(8 * F.log2("n")).cast("int")
+    above, least = 0, None
+    for row in found.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # some 400 levels
+        above += row["count"]
+        if above > keep:
+            break
+        least = row["level"]
+    rows = found.filter(level >= least).toPandas() if least is not None else found.limit(0).toPandas()
     key = rows["key"].to_numpy(np.uint64).astype(np.uint32)
     order = np.argsort(key)
-    return key[order], rows["n"].to_numpy(np.int64)[order]
+    return TokenCounts(key[order], rows["n"].to_numpy(np.int64)[order],
+                       _bitmap(found.select(F.col("key").alias("id")), BITMAP_BITS))
 
 
 def choose_prefix(df: np.ndarray, need: int, max_match: int = MAX_MATCH, verify: float = VERIFY_COST) -> tuple[int, int]:
@@ -190,9 +231,9 @@ def choose_prefix(df: np.ndarray, need: int, max_match: int = MAX_MATCH, verify:
 
 
 def live_postings(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
-                  frequent: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+                  counts: TokenCounts | None = None) -> DataFrame:
     """(token, cls, n, l) for prefix tokens that two or more classes have."""
-    key, count = frequent if frequent is not None else frequent_tokens(docs, words)
+    counts = counts or token_counts(docs, words)
 
     def run(rows):
         held, size = [], 0
@@ -202,40 +243,26 @@ def live_postings(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                 *(pa.array(np.repeat(np.array([x[i] for x in held], kind), [len(x[3]) for x in held]))
                   for i, kind in enumerate((np.int64, np.int32, np.int32)))], names=["token", "cls", "n", "l"])
         for cls, tokens in _new_sets(rows, words):
-            df = np.ones(len(tokens), np.int64)
-            if len(key):
-                top = (tokens >> np.uint64(32)).astype(np.uint32)
-                at = np.minimum(np.searchsorted(key, top), len(key) - 1)
-                df = np.where(key[at] == top, count[at], df)
+            df = counts.estimate(tokens)
             order = np.argsort(df, kind="stable")  # tokens ascend, so ties go by token
             need = -(-len(tokens) * percent // 100)
             match, length = choose_prefix(df[order], need)
-            held.append((cls, len(tokens), match, tokens[order[:length]]))
-            size += length
+            first = order[:length]
+            held.append((cls, len(tokens), match, tokens[first[df[first] > 1]]))
+            size += len(held[-1][3])
             if size >= 1 << 17:
                 yield from out()
                 held, size = [], 0
         if held:
             yield from out()
 
-    posts = docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, cls long, n int, l int")
+    posts = stored(docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, cls long, n int, l int"),
+                   "ngram-prefix-tokens")
     shared = (posts.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
               .filter("lo <> hi").select("token"))
     return posts.join(shared, "token", "left_semi").distinct()
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """Bits of the lowest bits of column cls: about 16 bits an id, 64 Mbit (8 MB) at most."""
-    bits = 1 << min(26, max(15, (16 * ids.count()).bit_length()))
-    place = F.pmod("cls", F.lit(bits)) + 1
-    rows = (ids.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect())
-    out = np.zeros((bits >> 15, 4096), np.uint8)
-    for r in rows:
-        out[r["b"] - 1] = np.frombuffer(bytes(r["m"]), np.uint8)
-    return out.ravel()
-
-
 def live_sets(docs: DataFrame, live: DataFrame, words: int = WORDS) -> DataFrame:
     """(cls, tokens array) of the classes in ``live`` (column cls), one row each.
 
@@ -243,7 +270,7 @@ def live_sets(docs: DataFrame, live: DataFrame, words: int = WORDS) -> DataFrame
     semi-join makes it exact.
     """
     wanted = live.select("cls").distinct()
-    bitmap = _bitmap(wanted)
+    bitmap = _bitmap(wanted.select(F.col("cls").alias("id")), SETS_BITS)
     low = len(bitmap) * 8 - 1
 
     def run(rows):
@@ -277,6 +304,17 @@ def verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, percent: in
     side = lambda df, name, cols: df.select(F.col("cls").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in cols))
     few = (pairs.join(side(prefixes, "a", ("l", "prefix")), "a").join(side(prefixes, "b", ("l", "prefix")), "b")
            .filter(F.size(F.array_intersect("a_prefix", "b_prefix")) >= F.least("a_l", "b_l")).select("a", "b"))
+    few = stored(few, "ngram-pairs")
+    wanted = few.select(F.col("a").alias("id")).union(few.select(F.col("b").alias("id")))
+    bitmap = _bitmap(wanted, SETS_BITS)
+    low = len(bitmap) * 8 - 1
+
+    def some(rows):  # a bounded bitmap keeps most sets without a pair out of the joins
+        for batch in rows:
+            at = batch.column(0).to_numpy() & low
+            yield batch.filter(pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)) == 1))
+
+    sets = sets.mapInArrow(some, sets.schema)
     both = few.join(side(sets, "a", ("tokens",)), "a").join(side(sets, "b", ("tokens",)), "b")
     same = F.size(F.array_intersect("a_tokens", "b_tokens"))
     total = F.size("a_tokens") + F.size("b_tokens")
