@@ -48,8 +48,8 @@ from lakeloom.llm.common import (
 
 WORDS = 5
 PERCENT = 80
-FREQUENT = 1 << 20
-BITMAP_BITS = 1 << 27
+FREQUENT = 1 << 18
+BITMAP_BITS = 1 << 26
 SETS_BITS = 1 << 26
 MAX_MATCH = 8
 VERIFY_COST = 20.0
