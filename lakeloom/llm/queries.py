@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.llm import packing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
 from lakeloom.llm.common import table
 from lakeloom.llm.ngram_join import ngram_jaccard_join
 
@@ -14,8 +15,44 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
+def tokenizer_files() -> tuple[str, str, str]:
+    """Paths of the public vocabulary (as tokenizer and as ranks) and its pattern."""
+    import public_tokenizers as files
+    return files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity_scores(docs, toxicity.fit_toxicity(docs, labels))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_classifier.quality_scores(docs, quality_classifier.fit_quality(docs, labels))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       "base_failed", "kept", "failures", "policy")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-}
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_toxicity, op4_quality_classifier,
+                            op5_secret_scan, op6_quality_rules, op10_sharding)}
 
 ORACLE: dict[str, str] = {}
