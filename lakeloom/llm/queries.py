@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import packing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
+from lakeloom.llm import packing, pii, quality_classifier, quality_rules, secret_scan, sharding, toxicity, url_filter
 from lakeloom.llm.common import table
+from lakeloom.llm.decontamination import decontaminate
 from lakeloom.llm.ngram_join import ngram_jaccard_join
 
 
@@ -47,12 +48,26 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept", "failures", "policy")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_model")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_toxicity, op4_quality_classifier,
-                            op5_secret_scan, op6_quality_rules, op10_sharding)}
+                            op5_secret_scan, op6_quality_rules, op7_decontamination, op8_pii,
+                            op9_url_filter, op10_sharding)}
 
 ORACLE: dict[str, str] = {}
