@@ -172,43 +172,63 @@ def contaminations(doc: np.ndarray, index: Index, at: np.ndarray, key: np.ndarra
             yield (int(item), *best)
 
 
-def _matches(docs: DataFrame, items: list, rate: float) -> DataFrame:
-    index = Index(items)
-
+def _regions(texts: pa.Array, index: Index, rate: float):
+    """(row, item number, edits, shared, start, end) of each contaminated row; code points."""
+    for lo, _, raw, offsets in text_pieces(texts):
+        folded, cut, place = fold(raw, offsets)
+        at, key = index.hits(folded)
+        row = np.searchsorted(cut, at, side="right") - 1
+        whole = at + Q <= cut[row + 1]
+        at, key, row = at[whole], key[whole], row[whole]
+        for i in np.unique(row).tolist():
+            mine = slice(*np.searchsorted(row, (i, i + 1)))
+            own = place[cut[i]:cut[i + 1]] - offsets[i]
+            for item, edits, shared, start, end in contaminations(folded[cut[i]:cut[i + 1]], index, at[mine] - cut[i], key[mine], rate):
+                chars = np.concatenate(([0], np.cumsum((raw[offsets[i]:offsets[i + 1]] & 0xC0) != 0x80)))
+                yield lo + i, item, edits, shared, int(chars[own[start]]), int(chars[own[end - 1] + 1])
+
+
+def _matches(docs: DataFrame, index: Index, rate: float) -> DataFrame:
     def run(rows):
         for batch, texts in batches_of(rows, "text"):
-            out = [[] for _ in range(6)]
-            ids = batch.column(0)
-            for lo, _, raw, offsets in text_pieces(texts):
-                folded, cut, place = fold(raw, offsets)
-                at, key = index.hits(folded)
-                row = np.searchsorted(cut, at, side="right") - 1
-                whole = at + Q <= cut[row + 1]
-                at, key, row = at[whole], key[whole], row[whole]
-                for i in np.unique(row).tolist():
-                    mine = slice(*np.searchsorted(row, (i, i + 1)))
-                    text = folded[cut[i]:cut[i + 1]]
-                    for item, edits, shared, start, end in contaminations(text, index, at[mine] - cut[i], key[mine], rate):
-                        own = place[cut[i]:cut[i + 1]] - offsets[i]
-                        chars = np.concatenate(([0], np.cumsum((raw[offsets[i]:offsets[i + 1]] & 0xC0) != 0x80)))
-                        for col, v in zip(out, (ids[lo + i].as_py(), index.items[item][0], edits, shared, int(chars[own[start]]),
-                                                int(chars[own[end - 1] + 1])), strict=True):
-                            col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
-                                             names=["doc_id", "item_id", "edits", "shared", "start", "end"])
+            found = list(_regions(texts, index, rate))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array([f[0] for f in found], pa.int64())),
+                 pa.array([index.items[f[1]][0] for f in found], pa.int64()),
+                 *(pa.array([f[k] for f in found], pa.int64()) for k in (2, 3, 4, 5))],
+                names=["doc_id", "item_id", "edits", "shared", "start", "end"])
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, item_id long, edits long, shared long, start long, end long")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, item_id, edits, shared, start, end): best region of each item in each document; code points."""
+def _blocks(benchmark: DataFrame, block_bytes: int):
+    """Index of each block of the benchmark: what the driver holds at a time is bounded."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("length(text) > 0")
     sized = items.withColumn("block", F.floor((F.sum(F.octet_length("text")).over(
         Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, 0)) - F.octet_length("text")) / block_bytes))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = None
     for block in range(0, total // block_bytes + 1):
         rows = items if total <= block_bytes else sized.filter(F.col("block") == block).drop("block")
-        part = _matches(docs, [tuple(r) for r in rows.orderBy("item_id", "text").collect()], rate)  # at most one block
+        yield Index([tuple(r) for r in rows.orderBy("item_id", "text").collect()])
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, item_id, edits, shared, start, end): best region of each item in each document; code points."""
+    found = None
+    for index in _blocks(benchmark, block_bytes):
+        part = _matches(docs, index, rate)
         found = part if found is None else found.union(part)
     return found
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns."""
+    at = docs.columns.index("text")
+    for index in _blocks(benchmark, block_bytes):
+        def run(rows, index=index):
+            for batch in rows:
+                keep = np.ones(len(batch), bool)
+                keep[[f[0] for f in _regions(batch.column(at).cast(pa.string()), index, rate)]] = False
+                yield batch.filter(pa.array(keep))
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

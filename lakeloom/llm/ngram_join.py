@@ -88,7 +88,7 @@ def fingerprint(tokens: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, cls) per row of ``docs``; cls is null for empty sets."""
+    """(doc_id, text_hash, n_shingles, cls) per row of ``docs``; cls is null for empty sets."""
     def run(rows):
         for batch, texts in batches_of(rows, "text"):
             size, cls = [], []
@@ -96,10 +96,10 @@ def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 size.append(len(tokens))
                 cls.append(fingerprint(tokens) if len(tokens) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(cls, pa.int64())],
-                names=["doc_id", "n_shingles", "cls"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, cls long")
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(cls, pa.int64())],
+                names=["doc_id", "text_hash", "n_shingles", "cls"])
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+                       F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, cls long")
 
 
 def _new_sets(rows, words):
@@ -363,13 +363,37 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, cls): one row per row of ``docs``."""
+    """(doc_id, text_hash, n_shingles, component_id, comp): one row per row of ``docs``; comp is null for empty sets."""
     own = stored(classes(docs, words), "ngram-classes")
     comps = linked_components(docs, words, percent)
     group = (own.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
              .join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     least = group.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = group.join(least, "comp").select("cls", "component_id")
+    named = group.join(least, "comp").select("cls", "component_id", "comp")
     return own.join(named, "cls", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls")
+        "doc_id", "text_hash", "n_shingles",
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp")
+
+
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component: that of the smallest doc_id (then text hash).
+
+    Rows without words all stay. A row is named by doc_id and the hash of its
+    text; of rows equal in both, one stays.
+    """
+    found = stored(ngram_jaccard_join(docs, words, percent).filter("comp is not null")
+                   .select("comp", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash").alias("row")), "ngram-rows")
+    keep = found.groupBy("comp").agg(F.min("row").alias("row"))
+    away = stored(found.distinct().join(keep, ["comp", "row"], "left_anti").select("row"), "ngram-away")
+    again = stored(found.groupBy("comp", "row").count().filter("count > 1").join(keep, ["comp", "row"], "left_semi")
+                   .select("row"), "ngram-again")
+    name = F.struct(F.col("doc_id").cast("long").isNull().alias("no"), F.col("doc_id").cast("long").alias("doc_id"),
+                    F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    cols = docs.columns
+    # sizes of the written tables are known, so Spark broadcasts them only below its threshold
+    left = docs.withColumn("__row", name).join(away.withColumnRenamed("row", "__row"), "__row", "left_anti")
+    if again.isEmpty():
+        return left.select(*cols)
+    twice = again.withColumnRenamed("row", "__row")
+    return (left.join(twice, "__row", "left_anti").select(*cols)
+            .union(left.join(twice, "__row", "left_semi").dropDuplicates(["__row"]).select(*cols)))

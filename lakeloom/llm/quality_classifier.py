@@ -16,6 +16,7 @@ score is 0.5. Other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakeloom.llm.text_terms import ngram_terms, sample_terms, scored, train_in_one_task, training_sample
@@ -65,6 +66,17 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, parts: int = PARTS, par
     return scored(docs, score, parts, part)
 
 
+def accepted(docs: DataFrame, weights: np.ndarray, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, all columns."""
+    score = text_scorer(weights)
+    at = docs.columns.index("text")
+
+    def run(rows):
+        for batch in rows:
+            yield batch.filter(pa.array(score(batch.column(at).cast(pa.string()).fill_null("")) >= least))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def text_scorer(weights: np.ndarray):
     bits = (len(weights) - 1).bit_length() - 1
 

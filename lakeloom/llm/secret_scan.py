@@ -153,31 +153,45 @@ def redact(text: str, found: list, by: str = "[SECRET]") -> str:
     return "".join(out) + text[at:]
 
 
-def scan(docs: DataFrame, model: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per row: ``keep`` columns, counts per kind, base_sha256, spans and the redacted text."""
-    def join(found):
-        return ",".join(f"{k}:{a}:{b}" for a, b, k in found)
+def _said(found: list) -> str:
+    return ",".join(f"{k}:{a}:{b}" for a, b, k in found)
 
+
+def _found(texts: pa.Array, model: np.ndarray):
+    """(row, text, base spans, all spans) of the rows that can hold a span."""
+    for lo, _, raw, offsets in text_pieces(texts):
+        for i in _suspects(raw, offsets, HEX_LENGTH, runs=True):
+            text = texts[lo + i].as_py()
+            yield (lo + i, text, *spans(text, model))
+
+
+def scan(docs: DataFrame, model: np.ndarray) -> DataFrame:
+    """(doc_id, n_<kind>..., base_sha256, spans) per row of ``docs``."""
     def run(rows):
-        for batch, texts in batches_of(rows, "__text"):
+        for batch, texts in batches_of(rows, "text"):
             n = len(texts)
             count = {k: np.zeros(n, np.int64) for k in KINDS}
-            sha, said, clean = [hashlib.sha256(b"").hexdigest()] * n, [""] * n, [None] * n
-            for lo, _, raw, offsets in text_pieces(texts):
-                for i in _suspects(raw, offsets, HEX_LENGTH, runs=True):
-                    text = texts[lo + i].as_py()
-                    base, every = spans(text, model)
-                    for _, _, k in every:
-                        count[k][lo + i] += 1
-                    sha[lo + i] = hashlib.sha256(join(base).encode()).hexdigest()
-                    said[lo + i] = join(every)
-                    clean[lo + i] = redact(text, every) if every else None
-            cols = [batch.column(k) for k in range(len(keep))]
+            sha, said = [hashlib.sha256(b"").hexdigest()] * n, [""] * n
+            for i, _, base, every in _found(texts, model):
+                for _, _, k in every:
+                    count[k][i] += 1
+                sha[i], said[i] = hashlib.sha256(_said(base).encode()).hexdigest(), _said(every)
             yield pa.RecordBatch.from_arrays(
-                [*cols, *(pa.array(count[k]) for k in KINDS), pa.array(sha, pa.string()), pa.array(said, pa.string()),
-                 pa.array(clean, pa.string())],
-                names=[*keep, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "redacted"])
-    picked = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
-    return picked.mapInArrow(run, schema + ", " + ", ".join(f"n_{k} long" for k in KINDS)
-                             + ", base_sha256 string, spans string, redacted string")
+                [batch.column(0), *(pa.array(count[k]) for k in KINDS), pa.array(sha, pa.string()), pa.array(said, pa.string())],
+                names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(
+        run, "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
+
+
+def redacted(docs: DataFrame, model: np.ndarray, by: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span replaced in column text; all other columns as they are."""
+    at = docs.columns.index("text")
+
+    def run(rows):
+        for batch in rows:
+            texts = batch.column(at).cast(pa.string())
+            clean = {i: redact(text, every, by) for i, text, _, every in _found(texts.fill_null(""), model) if every}
+            if clean:
+                texts = pa.array([clean.get(i, t) for i, t in enumerate(texts.to_pylist())], pa.string())
+            yield batch.set_column(at, "text", texts)
+    return docs.mapInArrow(run, docs.schema)
