@@ -15,9 +15,10 @@ verified only if the two prefixes share min(l, l') tokens.
   token, so that tokens outside it, which surely stand alone, are not sent.
 * ``live_postings``: prefix tokens found in two or more classes.
 * ``linked_components``: rounds link the members of every posting list to one
-  member of it (linear in the list), and only classes still in different
-  components are compared pair by pair afterwards. So a group of thousands of
-  near copies never yields all its pairs, and no link between components is lost.
+  member of it (linear in the list). Only classes still in different components
+  are compared with each other afterwards, in short lists pair by pair, in long
+  ones block by block (``block_links``). So a group of thousands of near copies
+  never yields all its pairs as rows, and no link between components is lost.
 
 Definitions for odd input: a null or blank text has size 0, no class and its own
 doc_id as component; fewer than five words form one shingle; equal rows and rows
@@ -54,6 +55,9 @@ SETS_BITS = 1 << 26
 MAX_MATCH = 8
 VERIFY_COST = 20.0
 STAR_ROUNDS = 2
+#: Posting lists up to this length are compared pair by pair, longer ones block by block.
+SMALL = 16
+BLOCK = 256
 _FLUSH = 1 << 21
 
 
@@ -350,18 +354,112 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
         comps = merged(edges)
 
     here = posts.join(comps, "cls")
-    mixed = here.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    here = stored(here.join(mixed, "token", "left_semi"), "ngram-mixed")
-    a, b = here.alias("a"), here.alias("b")
+    mixed = (here.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+             .filter("lo <> hi").select("token", "size"))
+    here = stored(here.join(mixed, "token"), "ngram-mixed")
+    small = here.filter(F.col("size") <= SMALL)
+    a, b = small.alias("a"), small.alias("b")
     pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.cls") < F.col("b.cls"))
                     & (F.col("a.comp") != F.col("b.comp")) & _sizes_fit(F.col("a.n"), F.col("b.n"), percent))
-             .groupBy(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"))
-             .agg(F.count("*").alias("m"), F.least(F.first("a.l"), F.first("b.l")).alias("l"))
-             .filter("m >= l").select("a", "b"))
-    edges = stored(verified(pairs, prefixes, sets, percent), "ngram-links")
+             .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
+    large = here.filter(F.col("size") > SMALL)
+    edges = verified(pairs, prefixes, sets, percent)
+    if not large.isEmpty():
+        edges = edges.union(block_links(large, prefixes, sets, percent))
+    edges = stored(edges, "ngram-links")
     return comps if edges.isEmpty() else merged(edges)
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of two blocks, by products of incidence matrices."""
+    size = np.array([len(x) for x in (*left, *right)])
+    row = np.repeat(np.arange(len(size)), size)
+    _, col, count = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    shared = count > 1  # other tokens are in one set only
+    keep = shared[col]
+    row, col = row[keep], (np.cumsum(shared) - 1)[col[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(shared.sum()), width):
+        here = slice(*np.searchsorted(col, (lo, lo + width)))
+        block = np.zeros((len(size), width), np.float32)
+        block[row[here], col[here] - lo] = 1
+        total += block[:len(left)] @ block[len(left):].T
+    return total.astype(np.int64)
+
+
+def block_links(large: DataFrame, prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among classes that share a token of a long posting list; enough of them to join their components.
+
+    A class lives in a block of some ``BLOCK`` classes of its longest list. Blocks
+    that have a token in common are compared as wholes: the prefixes of both
+    blocks first, then the sets of those classes that have a candidate. So what is
+    shuffled grows with the number of blocks in a list, not of pairs.
+    """
+    home = large.groupBy("cls").agg(F.max(F.struct("size", "token")).alias("h"), F.first("comp").alias("comp"))
+    parts = F.ceil(F.col("h.size") / BLOCK)
+    home = home.select("cls", "comp", F.xxhash64("h.token", F.pmod(F.xxhash64("cls"), parts)).alias("block"))
+    met = large.join(home.select("cls", "block"), "cls").select("token", "block").distinct()
+    met = (met.withColumnRenamed("block", "x").join(met.withColumnRenamed("block", "y"), "token").filter("x <= y")
+           .select("x", "y").distinct())
+    member = stored(home.join(prefixes, "cls"), "ngram-members")
+    side = lambda c: met.join(member.withColumnRenamed("block", c), c).select(
+        "x", "y", F.lit(c).alias("side"), "cls", "comp", "n", "l", "prefix")
+    fields = "x long, y long, a array<long>, b array<long>, ca array<long>, cb array<long>"
+
+    def candidates(group: pa.Table) -> pa.Table:
+        x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        first = np.array([v == "x" for v in group.column("side").to_pylist()])
+        prefix = [np.asarray(v.values) for v in group.column("prefix").combine_chunks()]
+        cls, comp, n, need = (group.column(c).to_numpy() for c in ("cls", "comp", "n", "l"))
+        i, j = np.flatnonzero(first), np.flatnonzero(~first)
+        small, big = np.minimum(n[i][:, None], n[j]), np.maximum(n[i][:, None], n[j])
+        ok = ((_overlaps([prefix[k] for k in i], [prefix[k] for k in j]) >= np.minimum(need[i][:, None], need[j]))
+              & (comp[i][:, None] != comp[j]) & (100 * small.astype(np.int64) >= percent * big.astype(np.int64)))
+        if x == y:
+            ok &= cls[i][:, None] < cls[j]
+        p, q = np.nonzero(ok)
+        some = len(p) > 0
+        return pa.table({k: pa.array([v] * some, t) for k, v, t in (
+            ("x", x, pa.int64()), ("y", y, pa.int64()), ("a", cls[i[p]], pa.list_(pa.int64())), ("b", cls[j[q]], pa.list_(pa.int64())),
+            ("ca", comp[i[p]], pa.list_(pa.int64())), ("cb", comp[j[q]], pa.list_(pa.int64())))})
+
+    found = stored(side("x").union(side("y")).groupBy("x", "y").applyInArrow(candidates, fields), "ngram-blocks")
+    wanted = (found.select(F.col("x").alias("u"), F.col("y").alias("v"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("cls"))
+              .join(sets, "cls"))
+
+    def links(group: pa.Table, tokens: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        if len(group):
+            a, b, ca, cb = (np.asarray(group.column(c).combine_chunks()[0].values) for c in ("a", "b", "ca", "cb"))
+            cls = tokens.column("cls").to_numpy()
+            at = {c: k for k, c in enumerate(cls.tolist())}
+            token = [np.asarray(v.values) for v in tokens.column("tokens").combine_chunks()]
+            left, i = np.unique([at[c] for c in a.tolist()], return_inverse=True)
+            right, j = np.unique([at[c] for c in b.tolist()], return_inverse=True)
+            same = _overlaps([token[k] for k in left], [token[k] for k in right])[i, j]
+            size = np.array([len(t) for t in token])
+            alike = 100 * same >= percent * (size[left[i]] + size[right[j]] - same)
+            up: dict[int, int] = {}
+
+            def top(c):
+                while up.get(c, c) != c:
+                    up[c] = up.get(up[c], up[c])
+                    c = up[c]
+                return c
+            for k in np.flatnonzero(alike).tolist():  # links that join components
+                p, q = top(int(ca[k])), top(int(cb[k]))
+                if p != q:
+                    up[p] = q
+                    out_a.append(int(a[k]))
+                    out_b.append(int(b[k]))
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return (found.groupBy("x", "y").cogroup(wanted.groupBy("u", "v"))
+            .applyInArrow(links, "a long, b long"))
+
+
 def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, comp): one row per row of ``docs``; comp is null for empty sets."""
     own = stored(classes(docs, words), "ngram-classes")

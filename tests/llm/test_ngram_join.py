@@ -67,6 +67,23 @@ def test_matches_brute_force(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_long_lists_by_blocks(spark, monkeypatch):
+    """Near copies of one text, many not alike: every list is long, blocks are small."""
+    from lakeloom.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "SMALL", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rnd = random.Random(7)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(70):
+        w = list(base)
+        for _ in range(rnd.randint(0, 5)):
+            w[rnd.randrange(60)] = f"x{rnd.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    assert run(spark, rows) == brute(rows)
+    assert len({c for *_, c in brute(rows)}) > 3
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
