@@ -1,6 +1,6 @@
 """Helpers shared by the training-data operators.
 
-Texts reach Python in Arrow batches; they are cut into pieces of a few MB of
+Texts reach Python in Arrow batches; they are cut into pieces of half a MB of
 UTF-8 so that the numpy arrays made from them stay small whatever the batch
 size is. A single very long text forms a piece of its own.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.session import scratch_path
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 

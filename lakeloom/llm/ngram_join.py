@@ -58,7 +58,7 @@ STAR_ROUNDS = 2
 #: Posting lists up to this length are compared pair by pair, longer ones block by block.
 SMALL = 16
 BLOCK = 256
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS):
@@ -155,8 +155,7 @@ def _bitmap(ids, most: int) -> np.ndarray:
 def token_counts(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> TokenCounts:
     """Counts of all shingles of all documents, by the upper 32 bits of their hash.
 
-    Tokens travel as sorted arrays, one row per range of tokens and some two
-    million tokens. The frequent ones are all those of a count at which no more
+    Tokens travel as sorted arrays, one row per range of tokens and some million tokens. The frequent ones are all those of a count at which no more
     than ``keep`` tokens are as frequent.
     """
     ranges = 1024

@@ -42,7 +42,7 @@ def fit_ftrl(labels, terms, counts, bits: int = BITS, epochs: int = EPOCHS) -> b
         w = -(z[at] - np.sign(z[at]) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
         return np.where(np.abs(z[at]) <= L1, 0.0, w)
 
-    feats = [(np.append(t, size - 1), np.append(_values(c), 1.0)) for t, c in zip(terms, counts, strict=True)]
+    feats = [(np.append(t, np.int32(size - 1)), np.append(_values(c), 1.0).astype(np.float32)) for t, c in zip(terms, counts, strict=True)]
     for _ in range(epochs):
         for y, (at, x) in zip(labels, feats, strict=True):
             w = weight(at)
