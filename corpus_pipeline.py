@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontamination, ngram_join, packing, quality_classifier, secret_scan
-from lakeloom.llm.common import stored, table
+from lakeloom.llm.common import small_batches, stored, table
 from lakeloom.llm.queries import tokenizer_files
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; fitted on the labels of these documents."""
-    return quality_classifier.accepted(docs, quality_classifier.fit_quality(docs, table(spark, sf_dir, "labels")))
+    labels = table(spark, sf_dir, "labels")
+    return quality_classifier.accepted(docs, quality_classifier.fit_quality(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return ngram_join.without_near_duplicates(docs)
 
 
@@ -33,6 +35,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with secrets replaced."""
+    small_batches(spark)
     clean = secret_scan.redacted(docs, secret_scan.fit(docs))
     if "n_chars" not in docs.columns:
         return clean
@@ -41,6 +44,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs, *tokenizer_files())
 
 

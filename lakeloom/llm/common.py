@@ -17,11 +17,18 @@ from pyspark.sql import functions as F
 from lakeloom.session import scratch_path
 
 PIECE_BYTES = 1 << 19
+BATCH_ROWS = 1_000
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` rows: rows are whole texts, so Spark's default of 10,000 takes much memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

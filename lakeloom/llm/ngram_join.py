@@ -58,6 +58,8 @@ STAR_ROUNDS = 2
 #: Posting lists up to this length are compared pair by pair, longer ones block by block.
 SMALL = 16
 BLOCK = 256
+#: Up to so many rows to drop go to every task.
+BROADCAST_ROWS = 200_000
 _FLUSH = 1 << 20
 
 
@@ -487,8 +489,10 @@ def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int =
     name = F.struct(F.col("doc_id").cast("long").isNull().alias("no"), F.col("doc_id").cast("long").alias("doc_id"),
                     F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     cols = docs.columns
-    # sizes of the written tables are known, so Spark broadcasts them only below its threshold
-    left = docs.withColumn("__row", name).join(away.withColumnRenamed("row", "__row"), "__row", "left_anti")
+    gone = away.withColumnRenamed("row", "__row")
+    if away.count() <= BROADCAST_ROWS:  # some tens of MB; beyond, Spark joins by a shuffle
+        gone = F.broadcast(gone)
+    left = docs.withColumn("__row", name).join(gone, "__row", "left_anti")
     if again.isEmpty():
         return left.select(*cols)
     twice = again.withColumnRenamed("row", "__row")
