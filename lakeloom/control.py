@@ -16,10 +16,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from .operators.dedupe import latest_by
+from .session import path_exists
 
+# Fields of the control records.
 CHECKPOINT_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("mode", T.StringType()),
@@ -47,6 +48,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("chunks", T.LongType()),
     T.StructField("raw_path", T.StringType()),
+    T.StructField("null_watermark_rows", T.LongType()),
     T.StructField("error", T.StringType()),
     T.StructField("committed_at", T.TimestampType()),
 ])
@@ -60,9 +62,6 @@ JOB_RUN_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType()),
 ])
 
-# Run states.
-RUN_STATES = ("running", "completed", "failed", "skipped_lock_active")
-
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
@@ -74,10 +73,10 @@ def _append(spark: SparkSession, path: str, rows: Sequence[dict], schema: T.Stru
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    """Rows of a control table; none if it was never written. An unreadable table fails loudly."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 # --------------------------------------------------------------------------- checkpoints
@@ -102,15 +101,32 @@ def record_run(spark: SparkSession, path: str, rows: Sequence[dict]) -> None:
     _append(spark, path, [{**r, "committed_at": _now()} for r in rows], MANIFEST_SCHEMA)
 
 
-def run_status(spark: SparkSession, path: str) -> DataFrame:
-    """Final status per run: a run whose last row is still ``running`` never
-    finished (crash, lost connection) and is reported as ``failed``."""
+def table_status(spark: SparkSession, path: str) -> DataFrame:
+    """Final status per (run, table): one whose last row is still ``running``
+    never finished (crash, lost connection) and is reported as ``failed``."""
     m = _read(spark, path, MANIFEST_SCHEMA)
-    last = latest_by(m, ["run_id"], [F.col("committed_at").desc()])
+    last = latest_by(m, ["run_id", "table"], [F.col("committed_at").desc()])
     return last.withColumn(
         "status", F.when(F.col("status") == "running", F.lit("failed")).otherwise(F.col("status")))
 
 
+def run_status(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run: failed if any of its tables failed, then skipped states, else completed."""
+    failed = F.count_if(F.col("status") == "failed")
+    other = F.max(F.when(F.col("status") != "completed", F.col("status")))
+    done = F.count_if(F.col("status") == "completed")
+    return table_status(spark, path).groupBy("run_id").agg(
+        F.when(failed > 0, "failed").when(done > 0, "completed").otherwise(other).alias("status"),
+        F.count("*").alias("tables"), failed.alias("failed_tables"),
+        F.sum("rows").alias("rows"), F.sum("chunks").alias("chunks"))
+
+
+def committed_batches(spark: SparkSession, path: str) -> DataFrame:
+    """(table, batch_id) of the extracts whose data is complete."""
+    return table_status(spark, path).filter(F.col("status") == "completed").select(
+        "table", F.col("run_id").alias("batch_id"))
+
+
 # --------------------------------------------------------------------------- job runs
 def log_job_run(spark: SparkSession, path: str, job_name: str, run_id: str, status: str,
                 duration_seconds: float | None = None, error_message: str | None = None) -> None:

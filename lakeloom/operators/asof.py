@@ -62,8 +62,9 @@ def as_of_join(facts: DataFrame, fact_key: str, fact_ts: str, versions: DataFram
         F.last("tail", ignorenulls=True).over(
             Window.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)).alias("carry"))
     out = local.filter(F.col(_KIND) == 1).join(F.broadcast(carry), _SEG, "left")
-    found = F.when(F.col("__cur").isNotNull(), F.col("__cur")) \
-        .when(F.col("carry.k").eqNullSafe(F.col("__k")), F.col("carry.v"))
+    # A fact without a key has no version, as in any join.
+    found = F.when(F.col("__k").isNull(), F.lit(None)).when(F.col("__cur").isNotNull(), F.col("__cur")) \
+        .when(F.col("carry.k") == F.col("__k"), F.col("carry.v"))
     return out.select("__fact.*", *[found[c].alias(c) for c in dim_cols])
 
 

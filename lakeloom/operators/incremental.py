@@ -65,20 +65,21 @@ def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str],
     The merged partitions are checkpointed before the overwrite, because a
     job may not overwrite files it is still reading.
     """
-    from pyspark.errors import AnalysisException
-
-    from ..session import freeze
+    from ..session import freeze, path_exists
 
     spark = updates.sparkSession
     keys, partition_cols = list(keys), list(partition_cols)
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException:
-        target = None
-    if target is None:
+    if not path_exists(spark, path):
         merged = updates
     else:
-        touched = updates.select(*partition_cols).distinct()
-        current = target.join(touched, partition_cols, "left_semi")
+        # Few values of a coarse partition column: as literals they prune the scan of the target.
+        values = updates.select(*partition_cols).distinct().collect()
+        hit = F.lit(False)
+        for row in values:
+            same = F.lit(True)
+            for c in partition_cols:
+                same = same & F.col(c).eqNullSafe(F.lit(row[c]))
+            hit = hit | same
+        current = spark.read.schema(updates.schema).parquet(path).filter(hit)
         merged = freeze(upsert_by_key(current, updates, keys))
     write_partition_upsert(merged, path, partition_cols)

@@ -37,14 +37,14 @@ def _typed(df: DataFrame, col: str, value) -> Column:
 
 
 def cursor_filter(df: DataFrame, mode: str, wm: str | None, pk: str | None,
-                  last_wm=None, last_pk=None, cutoff=None) -> DataFrame:
+                  last_wm=None, last_pk=None, cutoff=None, null_watermark: str = "skip") -> DataFrame:
     """Rows after the cursor.
 
     ``incremental``: requires a watermark; ``(wm > W) OR (wm = W AND pk > K)``
     (or ``wm > W`` without a key) and ``wm <= cutoff``.
     ``initial``: ``pk > K`` (or ``wm > W`` without a key); neither = everything.
-    Missing cursor values mean "from the beginning". Rows with a NULL
-    watermark never satisfy an incremental cursor.
+    Missing cursor values mean "from the beginning". Rows with a NULL watermark
+    satisfy no cursor; ``null_watermark="include"`` adds them to every run.
     """
     if mode not in ("initial", "incremental"):
         raise ValueError(f"unknown extract mode {mode!r}")
@@ -65,6 +65,8 @@ def cursor_filter(df: DataFrame, mode: str, wm: str | None, pk: str | None,
             cond = w.isNotNull()
         if cutoff is not None:
             cond = cond & (w <= _typed(df, wm, cutoff))
+        if null_watermark == "include":
+            cond = F.coalesce(cond, F.lit(False)) | w.isNull()
     else:
         if pk:
             cond = F.col(pk) > _typed(df, pk, last_pk) if has_pk else F.col(pk).isNotNull()
@@ -107,8 +109,9 @@ def assign_chunks(df: DataFrame, order: Sequence[str], chunk_size: int, first_ch
 def next_cursor(extracted: DataFrame, wm: str | None, pk: str | None) -> DataFrame:
     """One row: the greatest (wm, pk) extracted -- the resume point.
 
-    The maximum, not the last row of the final chunk, so an initial run in key
-    order still hands the right watermark to the incremental mode.
+    The maximum of (wm, pk), not the last row of the final chunk: what an
+    incremental run goes on from. An initial run walks the key alone and goes on
+    from ``max(pk)``, so its caller asks for that separately.
     """
     fields = [F.col(c).alias(c) for c in (wm, pk) if c]
     if not fields:

@@ -7,24 +7,26 @@ returns the result read back.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import control
 from ..functions.audit import batch_id
 from ..operators.incremental import high_water_slice, upsert_partitions
-from ..registry import ORDERS
+from ..registry import ORDERS, SOURCE_ENTITIES, raw_schema
 from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources.bulk_csv import load_csv_folder
 from ..sources.files import read_json_tree, read_text_lines, read_whole_files
-from ..sources.pages import read_page_set
+from ..sources.pages import read_page_files
 from ..streaming import pipelines as P
 from . import medallion as M
 from . import raw_fixtures as RF
 from . import standins as S
 from .catalog import SQL_DAILY, SQL_DB_ORDERS, SQL_F1, _fact_orders, _silver_orders, query
 from .landing import bronze_load, extract_to_raw
+from .pipeline import refresh_mart
 
 API_SCHEMA = T.StructType([
     T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
@@ -99,20 +101,17 @@ def q_schema_drift(spark, sf):
                     F.col("ingestion_date").cast("date").alias("ingestion_date"))
 
 
-@query("page_set", f"""
-WITH {SQL_F1},
-k AS (SELECT *, CAST(order_id AS BIGINT) AS key, CAST(CAST(order_id AS BIGINT) // 1000 + 1 AS INTEGER) AS page
-      FROM f1 WHERE CAST(order_id AS BIGINT) < 9500),
-pg AS (SELECT page, COUNT(*) AS n FROM k GROUP BY page),
-s AS (SELECT least(coalesce(min(page) FILTER (WHERE n < 1000), 100), 10, 100) AS stop FROM pg)
-SELECT page, order_id, status, total_amount FROM k WHERE page <= (SELECT stop FROM s)""")
+SQL_PAGES = f"""
+WITH {SQL_F1}
+SELECT CAST(CAST(order_id AS BIGINT) // 1000 + 1 AS INTEGER) AS page, order_id, status, total_amount FROM f1"""
+
+
+@query("page_set", SQL_PAGES)
 def q_page_set(spark, sf):
-    """Landed API pages (bare lists / ``items`` / ``orders`` envelopes) read up
-    to the client's stop page."""
+    """Landed API pages (bare lists / ``items`` / ``orders`` envelopes): every record of every page."""
     folder = scratch_path(spark, "pages")
     RF.write_page_set(spark, sf, folder)
-    recs = read_page_set(spark, folder, "orders", API_SCHEMA, per_page=1000, max_pages=100)
-    return recs.select("page", "order_id", "status", "total_amount")
+    return read_page_files(spark, folder, "orders", API_SCHEMA).select("page", "order_id", "status", "total_amount")
 
 
 # --------------------------------------------------------------------------- extraction
@@ -170,6 +169,99 @@ def q_run_manifest(spark, sf):
 
 
 # --------------------------------------------------------------------------- writers
+@query("daily_revenue_late", f"WITH {SQL_F1} {SQL_DAILY.format(src='f1', extra='')}")
+def q_daily_revenue_late(spark, sf):
+    """Two loads of the mart: in the first a fifth of the orders is missing and a
+    seventh is not delivered yet, on dates the mart already has. After the second
+    the mart equals a computation from scratch."""
+    path = scratch_path(spark, "mart_late")
+    fact = _fact_orders(spark, sf)
+    key = F.col("order_id").cast("long")
+    early = fact.filter(key % 5 != 0).withColumn(
+        "status", F.when(key % 7 == 0, F.lit("PROCESSING")).otherwise(F.col("status")))
+    refresh_mart(early, path)
+    refresh_mart(fact, path)
+    return spark.read.parquet(path).select(F.col("order_date").cast("date").alias("order_date"), "revenue", "order_count")
+
+
+def _payments(spark, sf):
+    """Lines as payments: an integer watermark, NULL for every ninth row."""
+    li = S.table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    seq = F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 9 != 0, F.col("l_linenumber").cast("string"))
+    return li.select(F.col("l_orderkey").cast("string").alias("order_id"), seq.alias("payment_sequential"),
+                     F.lit("card").alias("payment_type"), F.col("l_linenumber").cast("string").alias("payment_installments"),
+                     F.col("q").cast("string").alias("payment_value"))
+
+
+SQL_PAYMENTS = """
+WITH li AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem),
+p AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS installments,
+             CASE WHEN (l_orderkey + l_linenumber) % 9 <> 0 THEN l_linenumber END AS seq FROM li)"""
+
+
+@query("extract_payments", f"""{SQL_PAYMENTS}
+SELECT COUNT(*) AS rows, COUNT(DISTINCT order_id || '/' || installments) AS distinct_rows,
+       COUNT(*) - COUNT(seq) AS null_watermark_rows FROM p""")
+def q_extract_payments(spark, sf):
+    """First incremental extract on an integer watermark: no saved cursor, NULL watermarks included and counted."""
+    base = scratch_path(spark, "payments")
+    extract_to_raw(spark, _payments(spark, sf), SOURCE_ENTITIES["order_payments"], f"{base}/raw", f"{base}/control",
+                   "incremental", run_ts=RF.RUN1)
+    raw = read_json_tree(spark, f"{base}/raw/order_payments", raw_schema("order_payments"))
+    counted = control.table_status(spark, f"{base}/control/manifests").select("null_watermark_rows")
+    return raw.agg(F.count("*").alias("rows"), F.count_distinct("order_id", "payment_installments").alias("distinct_rows")) \
+        .crossJoin(counted)  # one row by one row
+
+
+@query("extract_handover", """
+SELECT 'initial' AS run, COUNT(*) AS rows FROM orders
+UNION ALL SELECT 'initial again', 0
+UNION ALL SELECT 'incremental', 0
+UNION ALL SELECT 'initial retried', COUNT(*) FROM orders""")
+def q_extract_handover(spark, sf):
+    """An initial extract, the same again, then the incremental one: nothing twice.
+    A retry of a batch (same run time, cursor lost) replaces its own files."""
+    base = scratch_path(spark, "handover")
+    src = S.db_orders(spark, sf)
+    runs = [("initial", "initial", RF.RUN1), ("initial again", "initial", RF.RUN2), ("incremental", "incremental", RF.RUN2)]
+    out = [(name, extract_to_raw(spark, src, ORDERS, f"{base}/raw", f"{base}/control", mode, run_ts=ts)["rows"])
+           for name, mode, ts in runs]
+    extract_to_raw(spark, src, ORDERS, f"{base}/raw", f"{base}/lost", "initial", run_ts=RF.RUN1)
+    raw = read_json_tree(spark, f"{base}/raw/orders", raw_schema("orders"))
+    return spark.createDataFrame(out, "run string, rows long").union(
+        raw.select(F.lit("initial retried").alias("run")).groupBy("run").agg(F.count("*").alias("rows")))
+
+
+@query("run_manifest_tables", """
+SELECT 'failed' AS status, CAST(2 AS BIGINT) AS tables, CAST(1 AS BIGINT) AS failed_tables, COUNT(*) AS rows FROM orders""")
+def q_run_manifest_tables(spark, sf):
+    """A run in which one table fails and the next completes is a failed run."""
+    base = scratch_path(spark, "manifest_tables")
+    src = S.db_orders(spark, sf)
+    try:
+        extract_to_raw(spark, src.drop("order_id"), SOURCE_ENTITIES["order_reviews"], f"{base}/raw", f"{base}/control",
+                       "initial", run_ts=RF.RUN1)
+    except AnalysisException:
+        pass  # its columns are missing: the failure is what the manifest must show
+    extract_to_raw(spark, src, ORDERS, f"{base}/raw", f"{base}/control", "initial", run_ts=RF.RUN1)
+    return control.run_status(spark, f"{base}/control/manifests").select("status", "tables", "failed_tables", "rows")
+
+
+@query("bronze_committed_only", """SELECT CAST(0 AS BIGINT) AS before_commit, COUNT(*) AS after_commit, CAST(0 AS BIGINT) AS again FROM orders""")
+def q_bronze_committed_only(spark, sf):
+    """Files of an uncommitted batch are invisible; committed ones load once."""
+    base = scratch_path(spark, "committed")
+    extract_to_raw(spark, S.db_orders(spark, sf), ORDERS, f"{base}/raw", f"{base}/control", "initial", run_ts=RF.RUN1)
+    batches = control.committed_batches(spark, f"{base}/control/manifests")
+
+    def load(done, loaded=None):
+        return bronze_load(spark, f"{base}/raw/orders", "orders", raw_schema("orders"), RF.RUN1, loaded, done)
+    before, after = load(batches.limit(0)), load(batches)
+    again = load(batches, after.select("_source_file"))
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    return count(before, "before_commit").crossJoin(count(after, "after_commit")).crossJoin(count(again, "again"))
+
+
 @query("daily_revenue_upsert", f"WITH {SQL_F1} {SQL_DAILY.format(src='f1', extra='')}")
 def q_daily_revenue_upsert(spark, sf):
     """Incremental mart: first load up to 1999, then upsert the newer dates by

@@ -24,8 +24,9 @@ from .. import control
 from ..functions.audit import batch_id, ingestion_date_utc, stamp_records, utc_now, with_load_audit
 from ..functions.dates import TS_TEXT_MICROS, parse_ts
 from ..operators.keyset import assign_chunks, cursor_filter, next_cursor
-from ..registry import DEFAULT_INITIAL_WATERMARK, EXTRACT_MODES, Entity
-from ..sinks.writers import write_jsonl_chunks
+from ..registry import EXTRACT_MODES, Entity
+from ..session import scratch_path
+from ..sinks.writers import write_jsonl_batch
 from ..sources.files import read_json_tree
 from . import medallion as M
 
@@ -52,15 +53,19 @@ def _decode(value: str | None):
 def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_base: str,
                    control_base: str, mode: str = "incremental", chunk_size: int = 50000,
                    run_ts: datetime | None = None, cutoff: datetime | None = None,
-                   no_watermark: str = "skip",
-                   initial_watermark: str = DEFAULT_INITIAL_WATERMARK) -> dict:
+                   no_watermark: str = "full", null_watermark: str = "include") -> dict:
     """Extract ``source`` rows after the saved cursor into RAW JSON-lines chunks.
 
     Returns the manifest row for the table. Modes: ``initial`` walks the key,
     ``incremental`` walks (watermark, key) up to ``cutoff`` (default: run time).
-    Unknown modes are rejected. Without a watermark, incremental mode either
-    skips the table (``no_watermark="skip"``, recorded in the manifest) or
-    takes a full snapshot (``"full"``).
+    Unknown modes are rejected. A run without a saved cursor starts at the first
+    row. Without a watermark, incremental mode takes a full snapshot, or skips the
+    table on request (``no_watermark="skip"``, recorded in the manifest). Rows
+    whose watermark is NULL come with every incremental run, or not on request
+    (``null_watermark="skip"``); the manifest counts them either way.
+
+    An initial run goes on from its own ``max(pk)`` and hands ``max(wm, pk)`` to the
+    incremental mode, which so starts after what the initial run took.
     """
     if mode not in EXTRACT_MODES:
         raise ValueError(f"mode must be one of {EXTRACT_MODES}, got {mode!r}")
@@ -84,7 +89,7 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
             return row
 
         cp = control.load_checkpoint(spark, cp_path, entity.name, mode)
-        last_wm = cp.get("last_watermark") or (initial_watermark if wm else None)
+        last_wm = cp.get("last_watermark")
         last_pk = _decode(cp.get("last_pk"))
         last_chunk = int(cp.get("last_chunk_index") or 0)
 
@@ -98,7 +103,8 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
                                    last_wm=parse_wm_literal(last_wm, entity),
                                    last_pk=last_pk,
                                    cutoff=None if entity.watermark_type == "int"
-                                   else parse_wm_literal(cutoff.isoformat(), entity))
+                                   else parse_wm_literal(cutoff.isoformat(), entity),
+                                   null_watermark=null_watermark)
             order = [_WM] + ([_PK] if pks else [])
         elif pks:
             sliced = cursor_filter(df, "initial", None, _PK, last_pk=last_pk)
@@ -111,49 +117,56 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
                                 chunk_col="__chunk")
         stamped = stamp_records(chunked, entity.name, run_ts.isoformat(), run_id, mode,
                                 F.col("__chunk"))
-        out = stamped.withColumns({
-            "ingestion_date": F.lit(ingestion_date_utc(run_ts)),
-            "hour": F.lit(run_ts.strftime("%H")),
-            "batch_id": F.lit(run_id),
-            "chunk": F.format_string("%05d", F.col("__chunk")),
-        })
+        out = stamped.withColumn("chunk", F.format_string("%05d", F.col("__chunk")))
+        batch_path = (f"{raw_base}/{entity.name}/ingestion_date={ingestion_date_utc(run_ts)}/"
+                      f"hour={run_ts.strftime('%H')}/batch_id={run_id}")
         data_cols = [c for c in source.columns] + ["_source_table", "_ingestion_ts", "_batch_id",
                                                    "_ingestion_mode", "_chunk_index"]
-        write_jsonl_chunks(out.select(*data_cols, "ingestion_date", "hour", "batch_id", "chunk"),
-                           f"{raw_base}/{entity.name}")
+        write_jsonl_batch(out.select(*data_cols, "chunk"), batch_path)
 
         # Control values: one row, computed by Spark from the frozen chunks.
         cur = next_cursor(chunked, _WM if wm else None, _PK if pks else None)
         if wm and entity.watermark_type != "int":
             cur = cur.withColumn("last_watermark",
                                  F.date_format("last_watermark", TS_TEXT_MICROS))
-        stats = cur.crossJoin(chunked.agg(F.max("__chunk").alias("max_chunk"))).collect()[0]
+        more = [F.max("__chunk").alias("max_chunk")]
+        more.append((F.count_if(F.col(_WM).isNull()) if wm else F.lit(0)).alias("null_wm"))
+        more.append((F.max(_PK) if pks else F.lit(None)).alias("max_pk"))
+        stats = cur.crossJoin(chunked.agg(*more)).collect()[0]  # one row by one row
+        null_rows = stats["null_wm"]
+        if mode == "incremental" and wm and null_watermark != "include":
+            null_rows = df.filter(F.col(_WM).isNull()).count()
         rows = stats["rows"]
         new_chunk = stats["max_chunk"] or last_chunk
-        batch_path = (f"{raw_base}/{entity.name}/ingestion_date={ingestion_date_utc(run_ts)}/"
-                      f"hour={run_ts.strftime('%H')}/batch_id={run_id}")
         cursor_wm = stats["last_watermark"] if wm and rows else None
         cursor_pk = stats["last_pk"] if pks and rows else None
-        control.save_checkpoint(spark, cp_path, {
+        resume = stats["max_pk"] if mode == "initial" and pks and rows else cursor_pk
+        saved = {
             "table": entity.name, "mode": mode, "watermark_column": wm,
             "pk_column": ",".join(pks) or None,
             "last_watermark": (format_wm(cursor_wm) if cursor_wm is not None else last_wm),
-            "last_pk": (json.dumps(list(cursor_pk)) if cursor_pk is not None
-                        else cp.get("last_pk")),
+            "last_pk": json.dumps(list(resume)) if resume is not None else cp.get("last_pk"),
             "last_chunk_index": int(new_chunk),
             "last_success_utc": run_ts.isoformat(),
             "row_count_last_run_table_total": int(rows),
             "batch_id": run_id,
             "last_raw_file_path": batch_path if rows else cp.get("last_raw_file_path"),
             "status": "completed",
-        })
+        }
+        control.save_checkpoint(spark, cp_path, saved)
+        if mode == "initial" and cursor_wm is not None and not control.load_checkpoint(
+                spark, cp_path, entity.name, "incremental"):
+            control.save_checkpoint(spark, cp_path, {
+                **saved, "mode": "incremental",
+                "last_pk": json.dumps(list(cursor_pk)) if cursor_pk is not None else None})
         row = {**base_row, "status": "completed", "rows": int(rows),
                "chunks": int(new_chunk - last_chunk), "raw_path": batch_path,
+               "null_watermark_rows": int(null_rows),
                "ended_utc": utc_now().isoformat()}
         control.record_run(spark, mf_path, [row])
         return row
     except Exception as exc:
-        control.record_run(spark, mf_path, [{**base_row, "status": "failed", "error": str(exc)[:2000],
+        control.record_run(spark, mf_path, [{**base_row, "status": "failed", "error": str(exc),
                                              "ended_utc": utc_now().isoformat()}])
         raise
 
@@ -177,22 +190,47 @@ def format_wm(value) -> str:
 
 
 # --------------------------------------------------------------------------- bronze
+def raw_files(spark: SparkSession, raw_path: str) -> DataFrame:
+    """(path, batch_id) of the files of a RAW tree; a listing, no file is opened."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw_path)
+             .filter(F.col("length") > 0).select("path"))
+    return found.withColumn("batch_id", F.nullif(F.regexp_extract("path", "/batch_id=([^/]+)/", 1), F.lit("")))
+
+
+def new_files(spark: SparkSession, raw_path: str, loaded_files: DataFrame | None = None,
+              committed: DataFrame | None = None) -> DataFrame:
+    """Files not loaded before and, with ``committed`` (batch_id), not of an unfinished batch."""
+    files = raw_files(spark, raw_path)
+    if committed is not None:
+        done = committed.select("batch_id").distinct().withColumn("ok", F.lit(True))
+        files = files.join(done, "batch_id", "left").filter(F.col("batch_id").isNull() | F.col("ok")).drop("ok")
+    if loaded_files is not None:
+        files = files.join(loaded_files.select(F.col("_source_file").alias("path")).distinct(), "path", "left_anti")
+    return files
+
+
 def bronze_load(spark: SparkSession, raw_path: str, entity: str,
                 schema: T.StructType | None = None, load_ts: datetime | None = None,
-                loaded_files: DataFrame | None = None) -> DataFrame:
+                loaded_files: DataFrame | None = None, committed: DataFrame | None = None) -> DataFrame:
     """RAW tree -> Bronze rows with audit + canonical columns.
 
-    ``loaded_files`` (a DataFrame with ``_source_file``) excludes files loaded
-    by earlier runs, so a rerun appends only new files.
+    With ``loaded_files`` (column ``_source_file``) or ``committed`` (column
+    ``batch_id``) the listing is compared first and only the files that are new
+    and committed are opened; their paths come to the driver, as every file
+    source needs them there.
     """
-    raw = read_json_tree(spark, raw_path, schema)
-    df = with_load_audit(raw, load_ts)
-    if loaded_files is not None:
-        done = loaded_files.select("_source_file").distinct()
-        df = df.join(done, "_source_file", "left_anti")
-    return M.bronze_canonical(entity, df)
-
-
-def loaded_file_list(bronze: DataFrame) -> DataFrame:
-    return bronze.select("_source_file").distinct()
-
+    if loaded_files is None and committed is None:
+        raw = read_json_tree(spark, raw_path, schema)
+    else:
+        paths = [r["path"] for r in new_files(spark, raw_path, loaded_files, committed).select("path").collect()]
+        if not paths and schema is None:
+            schema = read_json_tree(spark, raw_path).schema
+        raw = read_json_tree(spark, paths, schema) if paths else empty_source(spark, schema)
+    return M.bronze_canonical(entity, with_load_audit(raw, load_ts))
+
+
+def empty_source(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A file source without files: it has the metadata columns a load asks for."""
+    path = scratch_path(spark, "no-files")
+    spark.createDataFrame([], schema).write.json(path)
+    return spark.read.schema(schema).json(path)

@@ -70,17 +70,11 @@ def write_pages(df: DataFrame, folder: str, per_page: int, envelope: str | None,
 
 
 def write_page_set(spark: SparkSession, sf_dir: str, folder: str, per_page: int = 1000) -> None:
-    """API pages of F1 orders: full pages, a short page, an empty page, and
-    pages after the stop that the reader must ignore."""
+    """API pages of all F1 orders in turning envelopes, and an empty page."""
     api = S.api_orders(spark, sf_dir)
-    k = _key(api)
-    head = api.filter(k < 9500)
-    write_pages(head, folder, per_page, "cycle", _key(head))
-    # Empty page right after the last head page, then pages past the stop.
-    spark.range(1).select(F.lit(11).alias("page"), F.lit("[]").alias("value")) \
+    write_pages(api, folder, per_page, "cycle", _key(api))
+    spark.range(1).select(F.lit(0).alias("page"), F.lit("[]").alias("value")) \
         .write.mode("append").partitionBy("page").text(folder)
-    tail = api.filter(k >= 9500)
-    write_pages(tail, folder, per_page, "cycle", _key(tail) + 2000)
 
 
 def write_drift_batches(spark: SparkSession, sf_dir: str, bronze_path: str) -> None:

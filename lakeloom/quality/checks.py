@@ -44,7 +44,7 @@ def time_range_profile(df: DataFrame, ts: str, null_col: str | None = None) -> D
 
 def numeric_text_profile(df: DataFrame, col: str) -> DataFrame:
     """Blank count and min/max/avg over a numeric text column."""
-    v = numeric_text(col, 38, 2)
+    v = numeric_text(col, 38, 10)
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         _count(blank_or_null(col)).alias(f"null_{col}"),
@@ -56,7 +56,7 @@ def numeric_text_profile(df: DataFrame, col: str) -> DataFrame:
 
 def value_total_profile(df: DataFrame, col: str) -> DataFrame:
     """total, exact sum, and count of non-positive values."""
-    v = numeric_text(col, 38, 2)
+    v = numeric_text(col, 38, 10)
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(v).cast("double").alias("total_value"),

@@ -91,15 +91,12 @@ SOURCE_ENTITIES: dict[str, Entity] = {
               GEOLOCATION)
 }
 
-# Stamping columns added to every extracted RAW line.
+# Stamping columns added to every extracted RAW line.
 RAW_STAMP_COLUMNS = ("_source_table", "_ingestion_ts", "_batch_id", "_ingestion_mode",
                      "_chunk_index")
 
 # Extraction defaults.
 DEFAULT_CHUNK_SIZE = 50000
-DEFAULT_RAW_PREFIX = "postgres_ingest"
-DEFAULT_CONTROL_PREFIX = "_control/postgres_watermarks"
-DEFAULT_INITIAL_WATERMARK = "1900-01-01T00:00:00Z"
 EXTRACT_MODES = ("initial", "incremental")
 
 # API-shaped order record (declared schema of the orders API).
@@ -124,3 +121,16 @@ API_ORDER_SCHEMA_JSON = {
 REVENUE_STATUSES = ("COMPLETED", "SHIPPED", "DELIVERED")
 DEFAULT_CURRENCY = "BRL"
 OPEN_END_TS = "9999-12-31 00:00:00"
+
+
+def raw_schema(entity: str) -> T.StructType:
+    """Declared schema of an entity's RAW lines: its columns, the stamps and, for
+    orders, the fields of the API record that the table lacks."""
+    from .sources.schema import record_to_struct
+
+    fields = list(SOURCE_ENTITIES[entity].string_schema().fields)
+    fields += [T.StructField(c, T.IntegerType() if c == "_chunk_index" else T.StringType()) for c in RAW_STAMP_COLUMNS]
+    if entity == "orders":
+        names = {f.name for f in fields}
+        fields += [f for f in record_to_struct(API_ORDER_SCHEMA_JSON).fields if f.name not in names]
+    return T.StructType(fields)

@@ -47,6 +47,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its file system (never by catching a failed read)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
@@ -59,8 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
-        spark.conf.set(_CHECKPOINT_CONF, configured)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")

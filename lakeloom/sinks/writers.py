@@ -42,15 +42,13 @@ def append_text(df: DataFrame, path: str) -> None:
     df.select(F.col(df.columns[0]).cast("string").alias("value")).write.mode("append").text(path)
 
 
-def write_jsonl_chunks(df: DataFrame, base: str,
-                       partition_cols: Sequence[str] = ("ingestion_date", "hour", "batch_id",
-                                                        "chunk")) -> None:
-    """JSON lines, one folder per (date, hour, batch, chunk). Each chunk folder
-    is written in full by the job, so a retried batch rewrites the same paths."""
-    (rebalanced(df, partition_cols)
-       .write.mode("append")
-       .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-       .partitionBy(*partition_cols).json(base))
+def write_jsonl_batch(df: DataFrame, batch_path: str, chunk_col: str = "chunk") -> None:
+    """JSON lines of one batch, one folder per chunk. The batch owns its folder
+    and replaces it as a whole, so a retried batch leaves no row of the first try."""
+    (rebalanced(df, [chunk_col]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .partitionBy(chunk_col).json(batch_path))
 
 
 # --------------------------------------------------------------------------- overwrites
@@ -61,9 +59,10 @@ def rebalanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-def overwrite(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Replace a table (optionally partitioned by e.g. month or snapshot date)."""
-    w = rebalanced(df, partition_cols).write.mode("overwrite") \
+def overwrite(df: DataFrame, path: str, partition_cols: Sequence[str] = (), clustered: bool = False) -> None:
+    """Replace a table (optionally partitioned by e.g. month or snapshot date).
+    ``clustered`` rows keep the order ``cluster_by`` gave them: no shuffle here."""
+    w = (df if clustered else rebalanced(df, partition_cols)).write.mode("overwrite") \
         .option("partitionOverwriteMode", "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -110,55 +109,54 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- layout
-def _quantile_bucket(df: DataFrame, col: str, bits: int):
-    """Approximate quantile bucket in [0, 2**bits) for any orderable column."""
-    n = 1 << bits
-    probs = [i / n for i in range(1, n)]
-    numeric = isinstance(df.schema[col].dataType, T.NumericType)
-    c = F.col(col) if numeric else F.xxhash64(col).cast("double")
-    if not numeric:
-        # Text keys: cluster on a stable hash order (co-locates equal keys).
-        df = df.withColumn(f"__num_{col}", c)
-        src = f"__num_{col}"
-    else:
-        df = df.withColumn(f"__num_{col}", c.cast("double"))
-        src = f"__num_{col}"
-    cuts = df.approxQuantile(src, probs, 0.001)  # n-1 numbers: bounded, driver-side
-    arr = F.array(*[F.lit(float(x)) for x in cuts])
-    bucket = F.size(F.filter(arr, lambda x: x <= F.col(src)))
-    return df, bucket
+def _as_number(df: DataFrame, col: str):
+    """A double in the order of the column: days, seconds, numbers, or the leading bytes of a text."""
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return c.cast("timestamp").cast("double")
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    return F.conv(F.rpad(F.hex(F.substring(c.cast("string").cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+
+
+def _bucket(value, edges: Sequence[float]):
+    """How many of ``edges`` are not above the value."""
+    return F.size(F.filter(F.array(*[F.lit(float(x)) for x in edges]), lambda x: x <= value))
 
 
 def cluster_by(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
-               bits: int = 8) -> DataFrame:
+               bits: int = 8, within: Sequence[str] = ()) -> DataFrame:
     """Co-locate rows with nearby key values in the same files.
 
     One key: range partition + sort. Several keys: a Z-order value that
-    interleaves the bits of each key's quantile bucket, then range partition on
-    it, so files have narrow min/max ranges on every key.
+    interleaves the bits of each key's quantile bucket (in the key's own order),
+    then range partition on it, so files have narrow min/max ranges on every
+    key. ``within`` puts the table's partition columns first. The number of
+    files is left to the session and AQE unless given.
     """
-    keys = list(keys)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(df.columns)
+    keys, cols = list(keys), list(df.columns)
     # A row hash after the clustering key lets the range partitioner split a
     # single hot value over several files instead of one giant one.
-    spread = F.xxhash64(*[F.col(c) for c in cols]).alias("__spread")
+    df = df.withColumn("__spread", F.xxhash64(*[F.col(c) for c in cols]))
+
+    def ranged(out: DataFrame, *by) -> DataFrame:
+        by = (*within, *by)
+        cut = out.repartitionByRange(num_partitions, *by, "__spread") if num_partitions else out.repartitionByRange(*by, "__spread")
+        return cut.sortWithinPartitions(*by).select(*cols)
+
     if len(keys) == 1:
-        return df.withColumn("__spread", spread) \
-            .repartitionByRange(n, keys[0], "__spread").sortWithinPartitions(keys[0]).select(*cols)
+        return ranged(df, keys[0])
+    n = 1 << bits
+    numbers = df.select(*(_as_number(df, k).alias(k) for k in keys))
+    cuts = numbers.approxQuantile(keys, [i / n for i in range(1, n)], 0.001)  # one pass, n - 1 numbers a key
     z = F.lit(0).cast("long")
-    buckets = []
-    for k in keys:
-        df, b = _quantile_bucket(df, k, bits)
-        buckets.append(b)
-    for i in range(bits):
-        for j, b in enumerate(buckets):
-            bit = F.shiftright(b, i).bitwiseAND(F.lit(1)).cast("long")
-            z = z.bitwiseOR(F.shiftleft(bit, i * len(keys) + j))
-    df = df.withColumn("__z", z)
-    df = df.withColumn("__spread", spread)
-    return df.repartitionByRange(n, "__z", "__spread").sortWithinPartitions("__z", *keys) \
-        .select(*cols)
+    for j, (k, edges) in enumerate(zip(keys, cuts, strict=True)):
+        bucket = _bucket(_as_number(df, k), edges)
+        for i in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(bucket, i).bitwiseAND(F.lit(1)).cast("long"), i * len(keys) + j))
+    return ranged(df.withColumn("__z", z), "__z")
 
 
 # --------------------------------------------------------------------------- catalog

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_json_tree(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_json_tree(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                    corrupt_column: str | None = None) -> DataFrame:
     """All JSON under ``path`` (any depth): JSON-lines chunks and files holding
     one top-level array (one record per element) alike."""

@@ -1,11 +1,8 @@
-"""Landed API page sets -> records.
+"""Landed API page files -> records.
 
 A paginated API is landed as one file per page (``page_0001.json`` ...). A
 page holds a bare JSON list, or an envelope with the list under ``items`` or
-under the entity name. Reading stops the way the paginating client stops: at
-the first empty (or missing) page, after the first short page
-(``len < per_page``), or at ``max_pages``. Every page is parsed in parallel;
-the stop page is a small aggregate over per-page sizes.
+under the entity name. Every landed page is read, in one pass.
 """
 
 from __future__ import annotations
@@ -27,27 +24,11 @@ def page_items(spark: SparkSession, path: str, entity: str, record: T.StructType
     parsed_env = F.from_json("value", env)
     items = F.when(text.startswith("["), F.from_json("value", arr)) \
         .otherwise(F.coalesce(parsed_env["items"], parsed_env[entity]))
-    page = F.regexp_extract("path", PAGE_NUMBER_PATTERN, 1).cast("int")
+    page = F.regexp_extract("path", PAGE_NUMBER_PATTERN, 1).try_cast("int")
     return raw.select(page.alias("page"), items.alias("items"))
 
 
-def read_page_set(spark: SparkSession, path: str, entity: str, record: T.StructType,
-                  per_page: int = 1000, max_pages: int = 100) -> DataFrame:
-    pages = page_items(spark, path, entity, record).filter(F.col("page").isNotNull())
-    n = F.coalesce(F.size("items"), F.lit(0))
-    n = F.when(n < 0, 0).otherwise(n)  # size(NULL) is -1 in legacy mode
-    sized = pages.select("page", n.alias("n"))
-    # Stop candidates: an empty page ends before itself, a short page after itself.
-    stop_at = F.min(F.when(F.col("n") == 0, F.col("page") - 1)
-                    .when(F.col("n") < per_page, F.col("page")))
-    # A missing page number ends the walk too (the client would get nothing).
-    nums = sized.select("page")
-    missing = (nums.select((F.col("page") + 1).alias("page"))
-               .unionByName(spark.range(1).select(F.lit(1).alias("page")))
-               .join(nums, "page", "left_anti")
-               .agg(F.min("page").alias("first_missing")))
-    stop = sized.agg(stop_at.alias("stop_at")).crossJoin(missing).select(
-        F.least(F.coalesce("stop_at", F.lit(max_pages)), F.col("first_missing") - 1,
-                F.lit(max_pages)).alias("stop"))
-    kept = pages.join(F.broadcast(stop), F.col("page") <= F.col("stop")).drop("stop")
-    return kept.select("page", F.explode("items").alias("r")).select("page", "r.*")
+def read_page_files(spark: SparkSession, path: str, entity: str, record: T.StructType) -> DataFrame:
+    """All records of all landed pages, with their page number (null if the name has none)."""
+    pages = page_items(spark, path, entity, record)
+    return pages.select("page", F.explode("items").alias("r")).select("page", "r.*")

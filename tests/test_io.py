@@ -14,7 +14,7 @@ from lakeloom.plans.landing import extract_to_raw
 from lakeloom.registry import API_ORDER_SCHEMA_JSON, Entity
 from lakeloom.sinks import writers as W
 from lakeloom.sources.files import read_json_tree
-from lakeloom.sources.pages import read_page_set
+from lakeloom.sources.pages import read_page_files
 from lakeloom.sources.schema import record_to_struct
 from lakeloom.streaming.expectations import Expectation, ExpectationFailed, apply_expectations
 
@@ -43,16 +43,15 @@ def test_json_tree_mixed_and_ignores_underscore(spark, tmp_out):
     assert sorted(r.id for r in got.collect()) == ["1", "2", "3", "4"]
 
 
-def test_page_set_stop_rules(spark, tmp_out):
+def test_page_files_are_all_read(spark, tmp_out):
     folder = tmp_out("pages")
     rec = T.StructType([T.StructField("id", T.LongType())])
     pages = {1: [{"id": i} for i in range(3)], 2: {"items": [{"id": 10}, {"id": 11}, {"id": 12}]},
-             3: {"orders": [{"id": 20}]}, 4: [{"id": 30}, {"id": 31}, {"id": 32}]}
+             3: {"orders": [{"id": 20}]}, 5: [], 400: [{"id": 30}, {"id": 31}, {"id": 32}]}
     rows = [(p, json.dumps(v)) for p, v in pages.items()]
     spark.createDataFrame(rows, "page int, value string").write.partitionBy("page").text(folder)
-    got = read_page_set(spark, folder, "orders", rec, per_page=3)
-    assert sorted(r.id for r in got.collect()) == [0, 1, 2, 10, 11, 12, 20]   # short page 3 ends it
-    assert read_page_set(spark, folder, "orders", rec, per_page=3, max_pages=1).count() == 3
+    got = read_page_files(spark, folder, "orders", rec)
+    assert sorted(r.id for r in got.collect()) == [0, 1, 2, 10, 11, 12, 20, 30, 31, 32]
 
 
 def test_orphans_null_keys_count(spark):
@@ -101,7 +100,7 @@ def test_extract_resumes_and_is_chunked(spark, tmp_out):
     with pytest.raises(ValueError):
         extract_to_raw(spark, src, ent, f"{base}/raw", f"{base}/ctl", "sometimes")
     skipped = extract_to_raw(spark, src, Entity("nowm", ("id",), keys=("id",)), f"{base}/raw",
-                             f"{base}/ctl", "incremental")
+                             f"{base}/ctl", "incremental", no_watermark="skip")
     assert skipped["status"] == "skipped_no_watermark"
     st = {r.status for r in control.run_status(spark, f"{base}/ctl/manifests").collect()}
     assert "running" not in st
@@ -156,3 +155,36 @@ def test_catalog_helpers(spark, tmp_out):
     assert first_existing(spark, "devtest_gold.missing", "devtest_gold.numbers").count() == 10
     W.materialise(spark.range(2), "staging_two", as_view=True)
     assert spark.table("staging_two").count() == 2
+
+
+def test_unreadable_raw_fails_the_run(spark, tmp_out):
+    from lakeloom.plans.pipeline import run_pipeline
+
+    base = tmp_out("broken")
+    spark.range(2).select(F.lit('{"order_id": "1", "Order_ID": "2"}').alias("value")).write.text(f"{base}/raw/orders/ingestion_date=2024-01-01")
+    spark.range(2).write.parquet(f"{base}/lake/bronze/orders")  # a Bronze table without the columns it needs
+    with pytest.raises(Exception):
+        run_pipeline(spark, f"{base}/raw", f"{base}/lake", ("orders",))
+    assert [r.status for r in control.job_runs(spark, f"{base}/lake/_control/job_runs").collect()] == ["FAILED"]
+
+
+def test_clustered_files_have_narrow_ranges(spark, tmp_out):
+    df = spark.range(4000).select(F.col("id").cast("string").alias("order_id"), F.date_add(F.lit("1995-01-01").cast("date"), F.pmod(F.xxhash64("id"), F.lit(2000)).cast("int")).alias("d"))
+    path = tmp_out("z")
+    W.cluster_by(df, ["order_id", "d"], 16).write.parquet(path)
+    spread = (spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.date_diff(F.max("d"), F.min("d")).alias("days"))
+              .agg(F.avg("days")).collect()[0][0])
+    assert spread < 1400
+
+
+def test_as_of_null_key_and_decimal_union(spark):
+    from lakeloom.operators.asof import as_of_join
+    from lakeloom.operators.union import union_by_name_aligned
+
+    t = dt.datetime(2024, 1, 1)
+    facts = spark.createDataFrame([(None, t), ("a", t)], "k string, t timestamp")
+    dims = spark.createDataFrame([(None, t, "none"), ("a", t, "A")], "k string, f timestamp, v string")
+    assert {(r.k, r.v) for r in as_of_join(facts, "k", "t", dims, "k", "f", ["v"]).collect()} == {(None, None), ("a", "A")}
+    a = spark.sql("SELECT CAST('1.123456789012345' AS DECIMAL(20,15)) AS x")
+    b = spark.sql("SELECT CAST(7 AS INT) AS x")
+    assert sorted(str(r.x) for r in union_by_name_aligned(a, b).collect()) == ["1.123456789012345", "7.000000000000000"]
