@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import batches_of, text_pieces
+from lakeloom.llm.common import batches_of, release, text_pieces
 
 Q = 12
 RATE = 0.07
@@ -230,5 +230,6 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, b
                 keep = np.ones(len(batch), bool)
                 keep[[f[0] for f in _regions(batch.column(at).cast(pa.string()), index, rate)]] = False
                 yield batch.filter(pa.array(keep))
+            release()
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -41,6 +41,7 @@ from lakeloom.llm.common import (
     connected,
     lower_ascii,
     mix64,
+    release,
     segment_hashes,
     stored,
     text_pieces,
@@ -157,7 +158,8 @@ def _bitmap(ids, most: int) -> np.ndarray:
 def token_counts(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> TokenCounts:
     """Counts of all shingles of all documents, by the upper 32 bits of their hash.
 
-    Tokens travel as sorted arrays, one row per range of tokens and some million tokens. The frequent ones are all those of a count at which no more
+    Tokens travel as sorted arrays, one row per range of tokens and some million
+    tokens. The frequent ones are all those of a count at which no more
     than ``keep`` tokens are as frequent.
     """
     ranges = 1024
@@ -195,11 +197,12 @@ def token_counts(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> T
                 if n[part] > 1 << 20 and len(parts[part]) > 8:
                     parts[part] = [_summed(parts[part])]
                     n[part] = 0
-        for held in parts.values():
-            key, cnt = _summed(held)
+        while parts:
+            key, cnt = _summed(parts.popitem()[1])
             often = cnt > 1
             yield pa.RecordBatch.from_arrays([pa.array(key[often].astype(np.int64)), pa.array(cnt[often])],
                                              names=["key", "n"])
+        release()
 
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = stored(docs.select(F.col("text").cast("string")).mapInArrow(count, "part int, keys binary, counts binary")

@@ -19,6 +19,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import base64
+import functools
 import os
 import re
 import zlib
@@ -40,27 +41,31 @@ GAP = 1e-3
 #: Texts of these characters, without very long words, are tokenized alike by both libraries.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ɏ]*")
 _LONG = re.compile(r"\S{1000}")
-_LOADED: dict[tuple[str, str], tuple] = {}
 
 
-def _tokenizers(json_path: str, ranks_path: str, pattern: str):
-    """Per worker: the tokenizer of ``json_path`` and, for plain texts, the same vocabulary as ranks."""
-    if (json_path, ranks_path) not in _LOADED:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tiktoken
-        from tokenizers import Tokenizer
+@functools.cache
+def _tokenizer(json_path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _LOADED[json_path, ranks_path] = (Tokenizer.from_file(json_path), tiktoken.Encoding(
-            "pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
-    return _LOADED[json_path, ranks_path]
+    return Tokenizer.from_file(json_path)
 
 
-def token_ids(text: str, tokenizer, plain) -> np.ndarray:
+@functools.cache
+def _ranks(ranks_path: str, pattern: str):
+    """The same vocabulary as ranks, for plain texts."""
+    import tiktoken
+
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_ids(text: str, json_path: str, ranks_path: str, pattern: str) -> np.ndarray:
+    """Ids of a text; each vocabulary is loaded once a worker, when a text first needs it."""
     if "<|" not in text and _PLAIN.fullmatch(text) and not _LONG.search(text):
-        return plain.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
-    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return _ranks(ranks_path, pattern).encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
+    return np.array(_tokenizer(json_path).encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, length: int = LENGTH,
@@ -69,11 +74,10 @@ def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str,
     fields = ["doc_id long", "start long", "length long", "ids_crc32 long", "doc_tokens long"]
 
     def run(rows):
-        tokenizer, plain = _tokenizers(json_path, ranks_path, pattern)
         for batch, texts in batches_of(rows, "text"):
             out, ids_out = [[] for _ in fields], []
             for doc_id, text in zip(batch.column(0), texts, strict=True):
-                ids = np.append(token_ids(text.as_py() or "", tokenizer, plain), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(token_ids(text.as_py() or "", json_path, ranks_path, pattern), np.uint32(END_ID)).astype("<u4")
                 for at in range(0, len(ids), length):
                     piece = ids[at:at + length]
                     for col, v in zip(out, (doc_id.as_py(), at, len(piece), zlib.crc32(piece.tobytes()), len(ids)), strict=True):

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lakeloom.llm.common import release
 from lakeloom.llm.text_terms import ngram_terms, sample_terms, scored, train_in_one_task, training_sample
 
 BITS = 18
@@ -74,6 +75,7 @@ def accepted(docs: DataFrame, weights: np.ndarray, least: float = 0.5) -> DataFr
     def run(rows):
         for batch in rows:
             yield batch.filter(pa.array(score(batch.column(at).cast(pa.string()).fill_null("")) >= least))
+        release()
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import batches_of, text_pieces
+from lakeloom.llm.common import batches_of, release, text_pieces
 
 # The formats every scan must report.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -194,4 +194,5 @@ def redacted(docs: DataFrame, model: np.ndarray, by: str = "[SECRET]") -> DataFr
             if clean:
                 texts = pa.array([clean.get(i, t) for i, t in enumerate(texts.to_pylist())], pa.string())
             yield batch.set_column(at, "text", texts)
+        release()
     return docs.mapInArrow(run, docs.schema)

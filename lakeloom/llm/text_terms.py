@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import lower_ascii, mix64, segment_hashes, text_pieces
+from lakeloom.llm.common import lower_ascii, mix64, release, segment_hashes, text_pieces
 
 _REPEAT = np.uint64(0x0123456789ABCDEF)
 
@@ -105,7 +105,10 @@ def train_in_one_task(samples: DataFrame, fit) -> bytes:
             for k, out in ((2, terms), (3, counts)):
                 out += [x.values.to_numpy() for x in batch.column(k)]
         order = sorted(range(len(ids)), key=lambda i: (int(mix64(np.array([ids[i] & (2**64 - 1)], np.uint64))[0]), ids[i], labels[i], len(terms[i])))
+        del ids
         blob = fit(np.array([labels[i] for i in order], np.float64), [terms[i] for i in order], [counts[i] for i in order])
+        del labels, terms, counts
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["model"])
     found = samples.repartition(1).mapInArrow(run, "model binary").collect()
     return bytes(found[0]["model"])
