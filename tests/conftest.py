@@ -20,7 +20,7 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
         # Tests only: no shared folder configured, so use a fresh local one.
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakeloom-test-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeloom-test-"))
     yield s
     s.stop()
 
