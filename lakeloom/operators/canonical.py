@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_ts
+from ..functions.text import numeric_text
 from ..registry import DEFAULT_CURRENCY
 
 
@@ -96,7 +97,16 @@ CUSTOMER_RULES: tuple[Rule, ...] = (
     Rule("updated_at", "alias", sources=("_source_ingestion_ts",)),
 )
 
+PRODUCT_RULES: tuple[Rule, ...] = (
+    Rule("name", "null"),
+    Rule("category", "alias", sources=("product_category_name",)),
+    Rule("sku", "null"),
+    Rule("price", "derive", dtype="double", sources=("price",), fn=numeric_text),
+    Rule("updated_at", "alias", sources=("_source_ingestion_ts",)),
+)
+
 RULES_BY_ENTITY: dict[str, tuple[Rule, ...]] = {
     "orders": ORDER_RULES,
     "customers": CUSTOMER_RULES,
+    "products": PRODUCT_RULES,
 }

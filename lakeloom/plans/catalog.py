@@ -499,3 +499,4 @@ def q_table_counts(spark, sf):
 # Round-trip (files, writers, streaming) queries register themselves on import.
 from . import catalog_io  # noqa: E402,F401
 from . import catalog_extra  # noqa: E402,F401
+from . import catalog_feeds  # noqa: E402,F401

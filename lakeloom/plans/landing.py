@@ -24,10 +24,10 @@ from .. import control
 from ..functions.audit import batch_id, ingestion_date_utc, stamp_records, utc_now, with_load_audit
 from ..functions.dates import TS_TEXT_MICROS, parse_ts
 from ..operators.keyset import assign_chunks, cursor_filter, next_cursor
-from ..registry import EXTRACT_MODES, Entity
+from ..registry import ENTITIES, EXTRACT_MODES, Entity
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl_batch
-from ..sources.files import read_json_tree
+from ..sources.files import read_raw
 from . import medallion as M
 
 _WM = "__wm"
@@ -219,13 +219,14 @@ def bronze_load(spark: SparkSession, raw_path: str, entity: str,
     and committed are opened; their paths come to the driver, as every file
     source needs them there.
     """
+    fmt = ENTITIES[entity].raw_format if entity in ENTITIES else "json"
     if loaded_files is None and committed is None:
-        raw = read_json_tree(spark, raw_path, schema)
+        raw = read_raw(spark, raw_path, fmt, schema)
     else:
         paths = [r["path"] for r in new_files(spark, raw_path, loaded_files, committed).select("path").collect()]
         if not paths and schema is None:
-            schema = read_json_tree(spark, raw_path).schema
-        raw = read_json_tree(spark, paths, schema) if paths else empty_source(spark, schema)
+            schema = read_raw(spark, raw_path, fmt).schema
+        raw = read_raw(spark, paths, fmt, schema) if paths else empty_source(spark, schema)
     return M.bronze_canonical(entity, with_load_audit(raw, load_ts))
 
 

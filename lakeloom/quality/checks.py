@@ -104,6 +104,14 @@ def null_key_rows(df: DataFrame, keys: Sequence[str], alias: str = "incomplete_r
     return df.agg(_count(cond).alias(alias))
 
 
+def compare_counts(now: DataFrame, recorded: DataFrame, label: str = "table_name",
+                   count: str = "total_rows") -> DataFrame:
+    """Counts beside those of a recorded snapshot; a table only one side has does not match."""
+    old = recorded.select(label, F.col(count).alias("expected_rows"))
+    return now.select(label, count).join(old, label, "full").withColumn(
+        "matches", F.coalesce(F.col(count) == F.col("expected_rows"), F.lit(False)))
+
+
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
             alias: str) -> DataFrame:
     return orphan_count(child, child_key, parent, parent_key, alias)

@@ -6,7 +6,7 @@ from these records instead of per-entity scripts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ class Entity:
     watermark: str | None = None          # incremental cursor column
     watermark_type: str = "timestamp"     # typed watermark (never compared as text)
     recency: tuple[str, ...] = ()         # latest-wins order for Silver, most recent first
-    extras: dict = field(default_factory=dict)
+    raw_format: str = "json"              # json (lines or arrays) | csv with header
 
     def string_schema(self) -> T.StructType:
         """Source tables hold text only; RAW lines add the stamping columns."""
@@ -91,6 +91,17 @@ SOURCE_ENTITIES: dict[str, Entity] = {
               GEOLOCATION)
 }
 
+# Feeds landed as files, every column text, and the columns of the product catalogue.
+STORE_SALES = Entity("store_sales", ("id", "store_id", "store_name", "region", "amount", "sale_date"),
+                     keys=("id",), recency=("sale_date",), raw_format="csv")
+INVENTORY = Entity("inventory", ("product_id", "store_id", "quantity", "snapshot_date"), keys=())
+CLICKSTREAM = Entity("clickstream", ("event_id", "user_id", "event_type", "value", "ts"),
+                     keys=("event_id",), recency=("ts",))
+CATALOGUE_COLUMNS = ("name", "category", "sku", "price", "updated_at")
+
+FEED_ENTITIES: dict[str, Entity] = {e.name: e for e in (STORE_SALES, INVENTORY, CLICKSTREAM)}
+ENTITIES: dict[str, Entity] = SOURCE_ENTITIES | FEED_ENTITIES
+
 # Stamping columns added to every extracted RAW line.
 RAW_STAMP_COLUMNS = ("_source_table", "_ingestion_ts", "_batch_id", "_ingestion_mode",
                      "_chunk_index")
@@ -124,13 +135,18 @@ OPEN_END_TS = "9999-12-31 00:00:00"
 
 
 def raw_schema(entity: str) -> T.StructType:
-    """Declared schema of an entity's RAW lines: its columns, the stamps and, for
-    orders, the fields of the API record that the table lacks."""
+    """Declared schema of an entity's RAW lines: its columns, the stamps and, for orders
+    and products, the fields of the API or catalogue record that the table lacks.
+    A CSV file has its own columns only, so that its header can be checked."""
     from .sources.schema import record_to_struct
 
-    fields = list(SOURCE_ENTITIES[entity].string_schema().fields)
+    fields = list(ENTITIES[entity].string_schema().fields)
+    if ENTITIES[entity].raw_format == "csv":
+        return T.StructType(fields)
     fields += [T.StructField(c, T.IntegerType() if c == "_chunk_index" else T.StringType()) for c in RAW_STAMP_COLUMNS]
     if entity == "orders":
         names = {f.name for f in fields}
         fields += [f for f in record_to_struct(API_ORDER_SCHEMA_JSON).fields if f.name not in names]
+    if entity == "products":
+        fields += [T.StructField(c, T.StringType()) for c in CATALOGUE_COLUMNS]
     return T.StructType(fields)

@@ -25,25 +25,27 @@ def read_json_tree(spark: SparkSession, path: str | list[str], schema: T.StructT
     return r.json(path)
 
 
-def read_csv_tree(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_csv_tree(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                   infer: bool = False) -> DataFrame:
-    """CSV with header, recursive; declared schema or all-text unless ``infer``."""
+    """CSV with header, recursive; declared schema (checked against the header) or
+    all-text unless ``infer``."""
     r = spark.read.option("recursiveFileLookup", "true").option("header", "true")
     if schema is not None:
-        r = r.schema(schema)
+        r = r.schema(schema).option("enforceSchema", "false")
     elif infer:
         r = r.option("inferSchema", "true")
     return r.csv(path)
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "json",
+def read_raw(spark: SparkSession, path: str | list[str], fmt: str = "json",
              schema: T.StructType | None = None) -> DataFrame:
     if fmt == "json":
         return read_json_tree(spark, path, schema)
     if fmt == "csv":
         return read_csv_tree(spark, path, schema)
     if fmt == "parquet":
-        return spark.read.option("recursiveFileLookup", "true").parquet(path)
+        paths = [path] if isinstance(path, str) else path
+        return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
     raise ValueError(f"unsupported RAW format {fmt!r}")
 
 

@@ -76,7 +76,7 @@ def apply_expectations(df: DataFrame, expectations: Sequence[Expectation],
         recs = [(int(batch_id), e.name, e.action, int(counts[e.name]), rows, now)
                 for e in expectations]
         df.sparkSession.createDataFrame(recs, METRICS_SCHEMA).coalesce(1) \
-            .write.mode("append").parquet(metrics_path)
+            .write.mode("overwrite").parquet(f"{metrics_path}/stream_batch={int(batch_id)}")
     failed = [e.name for e in expectations if e.action == "fail" and counts[e.name]]
     if failed:
         raise ExpectationFailed(f"expectations failed in batch {batch_id}: {failed}")

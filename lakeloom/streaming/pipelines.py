@@ -76,17 +76,24 @@ def silver_stream(spark: SparkSession, bronze_path: str, bronze_schema: T.Struct
     return proj.dropDuplicates(["order_id"])
 
 
+def write_batch(batch: DataFrame, batch_id: int, silver_path: str, metrics_path: str,
+                expectations=ORDER_EXPECTATIONS) -> None:
+    """One micro-batch into its own folder ``stream_batch=<id>`` of both tables. A batch
+    that is replayed after a failure replaces what its first try left. The tables and
+    the checkpoint that numbers the batches belong together."""
+    batch = batch.persist()  # read twice: rule counts, then the write
+    try:
+        kept = apply_expectations(batch, expectations, metrics_path, batch_id)
+        kept.write.mode("overwrite").parquet(f"{silver_path}/stream_batch={batch_id}")
+    finally:
+        batch.unpersist()
+
+
 def run_silver(spark: SparkSession, bronze_path: str, bronze_schema: T.StructType,
                silver_path: str, metrics_path: str, checkpoint: str,
                expectations=ORDER_EXPECTATIONS, dedupe_watermark: str | None = None) -> None:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read twice (rule counts, then the write): keep it.
-        batch = batch.persist()
-        try:
-            kept = apply_expectations(batch, expectations, metrics_path, batch_id)
-            kept.write.mode("append").parquet(silver_path)
-        finally:
-            batch.unpersist()
+        write_batch(batch, batch_id, silver_path, metrics_path, expectations)
 
     q = (silver_stream(spark, bronze_path, bronze_schema, dedupe_watermark)
          .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)

@@ -188,3 +188,47 @@ def test_as_of_null_key_and_decimal_union(spark):
     a = spark.sql("SELECT CAST('1.123456789012345' AS DECIMAL(20,15)) AS x")
     b = spark.sql("SELECT CAST(7 AS INT) AS x")
     assert sorted(str(r.x) for r in union_by_name_aligned(a, b).collect()) == ["1.123456789012345", "7.000000000000000"]
+
+
+def test_replayed_stream_batch_replaces_its_first_try(spark, tmp_out):
+    from lakeloom.plans.catalog_feeds import VIOLATED
+    from lakeloom.streaming.pipelines import write_batch
+
+    base = tmp_out("replay")
+    rows = spark.createDataFrame([("1", 1.0, "SHIPPED"), ("2", -2.0, "SHIPPED"), ("3", 3.0, "PROCESSING")],
+                                 "order_id string, total_amount double, status string")
+    for batch in (rows.limit(1), rows, rows):
+        write_batch(batch, 0, f"{base}/silver", f"{base}/dq", VIOLATED)
+    assert sorted(r.order_id for r in spark.read.parquet(f"{base}/silver").collect()) == ["1", "2"]
+    assert {(r.expectation, r.violations) for r in spark.read.parquet(f"{base}/dq").collect()} == {
+        ("valid_order_id", 0), ("valid_amount", 1), ("settled", 1)}
+    bad = rows.withColumn("order_id", F.lit(None).cast("string"))
+    with pytest.raises(ExpectationFailed):
+        write_batch(bad, 1, f"{base}/silver", f"{base}/dq", VIOLATED)
+    assert spark.read.parquet(f"{base}/silver").count() == 2            # nothing of the failing batch
+
+
+def test_csv_feed_with_a_wrong_header_fails(spark, tmp_out):
+    from lakeloom.plans.landing import bronze_load
+    from lakeloom.registry import raw_schema
+
+    base = tmp_out("csvfeed")
+    good = spark.createDataFrame([("1", "2", "s", "r", "3.5", "2024-01-01")], raw_schema("store_sales"))
+    good.write.option("header", "true").csv(f"{base}/good/ingestion_date=2024-01-01")
+    row = bronze_load(spark, f"{base}/good", "store_sales", raw_schema("store_sales")).collect()[0]
+    assert (row.amount, str(row.ingestion_date)) == ("3.5", "2024-01-01")
+    good.withColumnRenamed("amount", "price").write.option("header", "true").csv(f"{base}/bad")
+    with pytest.raises(Exception):
+        bronze_load(spark, f"{base}/bad", "store_sales", raw_schema("store_sales")).collect()
+
+
+def test_pipeline_without_feeds_and_with_an_empty_one(spark, tmp_out):
+    from lakeloom.plans.pipeline import export_gold, run_pipeline
+
+    base = tmp_out("nofeeds")
+    row = '{"order_id": "1", "customer_id": "c", "order_date": "2024-01-05", "status": "shipped", "total_amount": 2.5}'
+    spark.range(1).select(F.lit(row).alias("value")).write.text(f"{base}/raw/orders/ingestion_date=2024-01-01")
+    run_pipeline(spark, f"{base}/raw", f"{base}/lake", run_ts=dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc))
+    assert export_gold(spark, f"{base}/lake", f"{base}/out") == ["fact_orders", "fact_sales", "daily_revenue_mart"]
+    got = spark.read.parquet(f"{base}/out/fact_sales").collect()
+    assert [(r.order_id, r.channel, r.total_amount) for r in got] == [("1", "online", 2.5)]
