@@ -121,9 +121,12 @@ def _as_number(df: DataFrame, col: str):
     return F.conv(F.rpad(F.hex(F.substring(c.cast("string").cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
 
 
-def _bucket(value, edges: Sequence[float]):
-    """How many of ``edges`` are not above the value."""
-    return F.size(F.filter(F.array(*[F.lit(float(x)) for x in edges]), lambda x: x <= value))
+def _bucket(value, edges: Sequence[float], bits: int):
+    """How many of the ascending ``edges`` (fewer than 2^bits) are not above the value (none for a
+    null): a search by halving, ``bits`` steps a row."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(bits))])
+    at = F.array(*[F.lit(float(x)) for x in edges]).cast("array<double>")
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(value >= F.get(at, n + step - 1), n + step).otherwise(n))
 
 
 def cluster_by(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
@@ -151,11 +154,14 @@ def cluster_by(df: DataFrame, keys: Sequence[str], num_partitions: int | None =
     n = 1 << bits
     numbers = df.select(*(_as_number(df, k).alias(k) for k in keys))
     cuts = numbers.approxQuantile(keys, [i / n for i in range(1, n)], 0.001)  # one pass, n - 1 numbers a key
+    # numbers, then buckets, in projections of their own: each is computed once a row
+    df = df.withColumns({f"__n{j}": _as_number(df, k) for j, k in enumerate(keys)})
+    df = df.withColumns({f"__b{j}": _bucket(F.col(f"__n{j}"), edges, bits) for j, edges in enumerate(cuts)})
     z = F.lit(0).cast("long")
-    for j, (k, edges) in enumerate(zip(keys, cuts, strict=True)):
-        bucket = _bucket(_as_number(df, k), edges)
+    for j in range(len(keys)):
         for i in range(bits):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(bucket, i).bitwiseAND(F.lit(1)).cast("long"), i * len(keys) + j))
+            bit = F.shiftright(f"__b{j}", i).bitwiseAND(F.lit(1)).cast("long")
+            z = z.bitwiseOR(F.shiftleft(bit, i * len(keys) + j))
     return ranged(df.withColumn("__z", z), "__z")
 
 
