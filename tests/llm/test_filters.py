@@ -57,6 +57,32 @@ def test_pii(spark):
         assert r["text"] == "x\n[PII]\n[PII]\n[PII]\n"
 
 
+PLANTED = [
+    ("call 00 49 170 1234567 now", "00 49 170 1234567"), ("my number 123-45-6789 is", "123-45-6789"), ("ring 212-555-0100 or", "212-555-0100"),
+    ("card 378282246310005 ok", "378282246310005"), ("card 3782 822463 10005 ok", "3782 822463 10005"),
+    ("write é@ü.de today", "é@ü.de"), ("to jürgé@example.org today", "jürgé@example.org")]
+HARMLESS = ["on 2021-03-14 we", "on 14.03.2021 we", "v 10.4.1024.77 up", "isbn 978-3-16-148410-0 is", "number 9807915762804490 is", "at 20210314-152600 in",
+            "see x@y for", "pkgé@1.2.3 is", "for 1 234 567.89 we", "hash ab572391524cd is", "order 2021-00012345 is"]
+
+
+def base_corpus(rnd, n=40):
+    """Texts with spans of the fixed formats only."""
+    digits = lambda k: "".join(rnd.choices("0123456789", k=k))
+    card = lambda: next(c for c in iter(lambda: "4" + digits(15), "") if luhn(c))
+    return [t for i in range(n) for t in (f"the +1 ({digits(3)}) 555-{digits(4)} and", f"one {card()} was", f"by {rnd.choice('abcde')}n.{i}@mail{i % 9}.example.com the",
+                                          f"from {i}.{rnd.randrange(256)}.7.201 to", f"nothing {i} here")]
+
+
+def test_pii_beyond_the_fixed_formats(spark):
+    rnd = random.Random(5)
+    texts = base_corpus(rnd) + [t for t, _ in PLANTED] + HARMLESS
+    got = {r["text"]: r for r in pii.find_pii(spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], DOCS)).collect()}
+    for text, said in PLANTED:
+        assert got[text]["spans"] == f"model:{text.index(said)}:{text.index(said) + len(said)}", text
+        assert got[text]["n_model"] == 1
+    assert [t for t in texts if got[t]["n_model"] and t not in dict(PLANTED)] == []
+
+
 def test_pii_empty(spark):
     assert pii.find_pii(spark.createDataFrame([], DOCS)).count() == 0
 
