@@ -2,12 +2,15 @@
 
 Features: lengths of host, path and url, label and path depth, digit ratio,
 hyphens, entropy of the host's characters, number of parameters, and smoothed
-block rates of host suffix and first path segment. Trees are boosted on a
-logistic loss over at most ``TRAIN_ROWS`` distinct labelled URLs (a bounded,
-documented sample in order of a hash of the url) in one task; the threshold is
-the one of best F1 on a quarter of them that the trees do not see. URLs are
-labelled by ``labelled_urls``: hosts with one of the fixed words in a
-hyphenated label are blocked examples, hosts that no rule blocks are allowed ones.
+block rates of host suffix and first path segment. The rates come from all
+distinct labelled URLs outside the held-out quarter: counts per value and fold are
+joined to the rows, and a labelled URL does not count in its own fold's rate, so
+no rate has seen the label it helps to predict. Trees are boosted on a logistic
+loss over at most ``TRAIN_ROWS`` of these URLs (a bounded, documented sample in
+order of a hash of the url) in one task; the threshold is the one of best F1 over
+all of the held-out quarter, counted in ``CUTS`` bins of the score. URLs are
+labelled by ``labelled_urls``: hosts with one of the fixed words in a hyphenated
+label are blocked examples, hosts that no rule blocks are allowed ones.
 
 Odd input: a null url, or one without ``://``, has an empty host and path, no rule
 and the model's verdict on the empty features; very long urls are read whole;
@@ -24,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.common import stored
+
 # The rules (verdict, host, path prefix) and the words of blocked examples.
 RULES = (
     ("allow", "org", "/"),
@@ -38,6 +43,7 @@ TRAIN_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, L2 = 40, 3, 0.2, 32, 1.0
 FEATURES = ("url_length", "host_length", "path_length", "labels", "depth", "digits", "hyphens", "parameters",
             "entropy", "suffix_rate", "segment_rate")
+FOLDS, CUTS = 4, 1_000  # the last fold is held out
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -136,57 +142,86 @@ def boosted_score(model: tuple[float, list, list], x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-out))
 
 
-_COLUMNS = (*FEATURES[:-2], "suffix", "segment")
+_PLAIN = FEATURES[:-2]
 
 
-def _matrix(batch: pa.RecordBatch, rates: list[dict], overall: float) -> np.ndarray:
-    cols = [batch.column(batch.schema.get_field_index(c)) for c in _COLUMNS]
-    plain = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in cols[:-2]]
-    known = [np.array([r.get(v, overall) for v in c.to_pylist()]) for c, r in zip(cols[-2:], rates, strict=True)]
-    return np.stack([*plain, *known], axis=1)
+def _fold(url: Column) -> Column:
+    return F.pmod(F.crc32(F.coalesce(url, F.lit(""))), F.lit(FOLDS)).cast("int")
 
 
-def fit_urls(rows: DataFrame, sample_rows: int = TRAIN_ROWS):
-    """(rates, overall, trees, threshold) from the labelled rows, or None without both labels."""
-    key = F.xxhash64("url")
-    sample = (rows.filter("label is not null").select("url", "label", *_COLUMNS).distinct()
-              .orderBy(key, "url", "label").limit(sample_rows))
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    cols = [batch.column(batch.schema.get_field_index(c)) for c in FEATURES]
+    return np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in cols], axis=1)
+
+
+def block_counts(labelled: DataFrame, key: str) -> DataFrame:
+    """(key, yes, n, folds): blocked and all labelled urls of each value outside the held-out fold, and by fold."""
+    of = lambda q, c: F.sum(F.when(F.col("fold") == q, c).otherwise(0))
+    folds = F.array(*(F.struct(of(q, F.col("label")).alias("yes"), of(q, F.lit(1)).alias("n")) for q in range(FOLDS - 1)))
+    return (labelled.filter(F.col("fold") < FOLDS - 1).groupBy(key)
+            .agg(F.sum("label").alias(f"{key}_yes"), F.count("*").alias(f"{key}_n"), folds.alias(f"{key}_folds")))
+
+
+def with_rates(rows: DataFrame, counts: dict[str, DataFrame], overall: float) -> DataFrame:
+    """Adds the smoothed block rates (ten rows of the overall rate); a row with label and fold leaves its fold out."""
+    for key, table in counts.items():
+        rows = rows.join(table, key, "left")
+        yes, n = (F.coalesce(F.col(f"{key}_{c}"), F.lit(0)) for c in ("yes", "n"))
+        if "fold" in rows.columns:
+            own = F.get(F.col(f"{key}_folds"), F.col("fold"))
+            yes, n = yes - F.coalesce(own["yes"], F.lit(0)), n - F.coalesce(own["n"], F.lit(0))
+        rows = rows.withColumn(f"{key}_rate", (yes + 10 * F.lit(overall)) / (n + 10)).drop(f"{key}_yes", f"{key}_n", f"{key}_folds")
+    return rows
 
+
+def _boosted(sample: DataFrame):
+    """Trees boosted in one task on the bounded sample."""
     def run(batches):
         table = pa.Table.from_batches(list(batches)).combine_chunks()
-        order = np.lexsort((table.column("url").to_pylist(),)) if len(table) else []
-        table = table.take(pa.array(order, pa.int64())) if len(table) else table
-        y = np.array(table.column("label").to_pylist(), np.float64)
-        model = None
-        if len(y) and 0 < y.sum() < len(y):
-            fold = np.array([hash_of(u) % 4 for u in table.column("url").to_pylist()])
-            overall, rates = float(y.mean()), []
-            for c in ("suffix", "segment"):  # smoothed block rate of each value, ten rows of the overall rate
-                sums: dict = {}
-                for v, t, q in zip(table.column(c).to_pylist(), y, fold, strict=True):
-                    if q < 2:
-                        s = sums.setdefault(v, [0.0, 0])
-                        s[0] += t
-                        s[1] += 1
-                rates.append({v: (s + 10 * overall) / (n + 10) for v, (s, n) in sums.items()})
-            x = _matrix(table.to_batches()[0], rates, overall)
-            trees = boost(x[fold < 3], y[fold < 3])
-            p, t = boosted_score(trees, x[fold == 3]), y[fold == 3]
-            cuts = np.unique(np.append(p, 0.5))
-            f1 = [2 * (t[p >= c].sum()) / max((p >= c).sum() + t.sum(), 1) for c in cuts]
-            best = float(cuts[int(np.argmax(f1))]) if t.sum() else 0.5
-            below = p[p < best]
-            model = (rates, overall, trees, (best + float(below.max())) / 2 if len(below) else best)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
-
-    if not (got := sample.repartition(1).mapInArrow(run, "model binary").collect()):
-        return None
-    return pickle.loads(bytes(got[0]["model"]))
+        order = np.lexsort((table.column("url").to_pylist(),))
+        table = table.take(pa.array(order, pa.int64()))
+        trees = boost(_matrix(table.to_batches()[0]), np.array(table.column("label").to_pylist(), np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(trees)], pa.binary())], names=["model"])
+    return pickle.loads(bytes(sample.repartition(1).mapInArrow(run, "model binary").collect()[0]["model"]))
 
 
-def hash_of(url: str) -> int:
-    import zlib
-    return zlib.crc32((url or "").encode())
+def _scores(rows: DataFrame, keep: list[str], schema: str, trees) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            score = np.zeros(len(batch)) if trees is None else boosted_score(trees, _matrix(batch))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(score, pa.float64())],
+                                             names=[*keep, "score"])
+    return rows.select(*keep, *FEATURES).mapInArrow(run, f"{schema}, score double")
+
+
+def _threshold(held: DataFrame) -> float:
+    """Least score to block: best F1 over all held-out rows, in the middle between scores that occur."""
+    bins = (held.groupBy(F.floor(F.col("score") * CUTS).alias("b"))
+            .agg(F.sum("label").alias("yes"), F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+            .orderBy(F.desc("b")).collect())
+    total, yes, n, best, cut = sum(r["yes"] for r in bins), 0, 0, 0.0, 0.5
+    if not total:
+        return cut
+    for i, r in enumerate(bins):
+        yes, n = yes + r["yes"], n + r["n"]
+        if (f1 := 2 * yes / (n + total)) >= best:
+            best, cut = f1, (r["low"] + bins[i + 1]["high"]) / 2 if i + 1 < len(bins) else r["low"]
+    return cut
+
+
+def fit_urls(rows: DataFrame, sample_rows: int = TRAIN_ROWS):
+    """(counts per value, overall rate, trees, threshold) from the labelled rows, or None without both labels."""
+    labelled = stored(rows.filter("label is not null").select("url", "label", *_PLAIN, "suffix", "segment").distinct()
+                      .withColumn("fold", _fold(F.col("url"))), "url-labelled")
+    seen = labelled.filter(F.col("fold") < FOLDS - 1)
+    n, yes = seen.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < yes < n:
+        return None
+    counts = {key: stored(block_counts(labelled, key), f"url-{key}") for key in ("suffix", "segment")}
+    sample = seen.orderBy(F.xxhash64("url"), "url", "label").limit(sample_rows)
+    trees = _boosted(with_rates(sample, counts, yes / n).select("url", "label", *FEATURES))
+    held = labelled.filter(F.col("fold") == FOLDS - 1)
+    return counts, yes / n, trees, _threshold(_scores(with_rates(held, counts, yes / n), ["label"], "label int", trees))
 
 
 def judge_urls(pages: DataFrame, sample_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -195,14 +230,9 @@ def judge_urls(pages: DataFrame, sample_rows: int = TRAIN_ROWS) -> DataFrame:
     rule, verdict = matching_rule()
     rows = features(rows.withColumns({"rule": rule, "rule_verdict": verdict}))
     model = fit_urls(labelled_urls(rows), sample_rows)
-    keep = ["page_id", "host", "path", "rule", "rule_verdict"]
-
-    def run(batches):
-        for batch in batches:
-            score = np.zeros(len(batch)) if model is None else boosted_score(model[2], _matrix(batch, model[0], model[1]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(score, pa.float64())],
-                                             names=[*keep, "score"])
-    out = rows.select(*keep, *_COLUMNS).mapInArrow(
-        run, "page_id long, host string, path string, rule string, rule_verdict string, score double")
-    own = F.when(F.col("score") >= (model[3] if model else 2.0), "block").otherwise("allow")
+    counts, overall, trees, least = model or ({}, 0.0, None, 2.0)
+    rows = with_rates(rows, counts, overall) if model else rows.withColumns({c: F.lit(0.0) for c in FEATURES[-2:]})
+    out = _scores(rows, ["page_id", "host", "path", "rule", "rule_verdict"],
+                  "page_id long, host string, path string, rule string, rule_verdict string", trees)
+    own = F.when(F.col("score") >= least, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "score")

@@ -184,6 +184,15 @@ def test_url_filter(spark):
     assert one[0]["verdict"] == "allow"
 
 
+def test_url_rates_cover_all_labelled_urls(spark):
+    # Only the suffix tells the hosts apart, and most suffixes are not in the sample for the trees.
+    urls = [(k % 2, f"http://{('casino', 'kasino')[k % 2]}-{i}.s{k}.net/p/{i}") for k in range(100, 220) for i in range(10, 30)]
+    rows = [(i, u, "x") for i, (_, u) in enumerate(urls)]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, PAGES), sample_rows=80).collect()
+    assert len(got) == len(rows)
+    assert np.mean([(r["verdict"] == "block") == (urls[r["page_id"]][0] == 0) for r in got]) > 0.99
+
+
 @pytest.mark.parametrize("m", [12, 24, 50, 95, 230, 394])
 def test_lemma_bound_is_positive(m):
     assert dec.bound(m, dec.budget(m)) >= 1 and m - dec.Q + 1 - dec.budget(m) * dec.Q >= (1 if m >= 2 * dec.Q else 1 - dec.Q)
