@@ -14,8 +14,8 @@ written at the same places, ``PLAIN``, and candidates of the corpus that are
 plainly such (``_plain``) are the negatives. Other candidates of the corpus, among
 them all that may be added, have no label. Trees are fitted on at most
 ``TRAIN_ROWS`` examples (bounded, documented sample in order of a hash, half of
-each label); the threshold is calibrated on a quarter the trees do not see, to a
-precision of ``PRECISION``. The trees become one SQL expression, so scoring needs
+each label), equal ones counted before that; the threshold is calibrated on all of a
+quarter the trees do not see, to a precision of ``PRECISION``. The trees become one SQL expression, so scoring needs
 no join and no shuffle, and everything runs inside the JVM.
 
 Spans come from ``split`` and ``regexp_extract_all`` with one pattern: matches and
@@ -242,23 +242,29 @@ def _touches(spans: Column, start: Column, end: Column) -> Column:
 
 
 def examples(docs: DataFrame) -> DataFrame:
-    """(said, before, after, label, h): candidates that no fixed format touches, with a weak label."""
+    """(said, before, after, label, n, h): distinct candidates that no fixed format touches, with a weak label.
+
+    Equal spans are counted (``n``) before anything is made from them, so a line that very many documents
+    repeat is one example, and no task holds its copies.
+    """
     rows = _prepared(docs).filter((F.size("cand") > 0) | (F.size("base") > 0))
     fixed = F.transform("base", lambda x: _around(F.col("t"), x))
     free = F.filter("cand", lambda x: ~_touches(F.col("base"), x["start"], x["end"]) & _plain(x["said"], x["before"], x["after"]))
-    spans = stored(rows.select(F.explode(F.concat(fixed, free)).alias("x")).select("x.kind", "x.said", "x.before", "x.after"), "pii-spans")
+    spans = stored(rows.select(F.explode(F.concat(fixed, free)).alias("x")).groupBy("x.kind", "x.said", "x.before", "x.after")
+                   .agg(F.count("*").alias("n")), "pii-spans")
     views = lambda label, texts: F.transform(texts, lambda v: F.struct(F.lit(label).alias("label"), v.alias("view")))
     kind, said = F.col("kind"), F.col("said")
     made = (spans.filter("kind <> 'model'")
-            .select("before", "after", F.explode(F.concat(views(1.0, personal(kind, said)), views(0.0, plain(kind, said)))).alias("v"))
+            .select("before", "after", "n", F.explode(F.concat(views(1.0, personal(kind, said)), views(0.0, plain(kind, said)))).alias("v"))
             .filter("v.view is not null")
-            .select(F.lit(0).alias("doc_id"), F.concat("before", "v.view", "after").alias("text"), F.col("v.label").alias("label"),
+            .select(F.lit(0).alias("doc_id"), F.concat("before", "v.view", "after").alias("text"), F.col("v.label").alias("label"), "n",
                     F.length("before").alias("a"), F.length(F.concat("before", "v.view")).alias("b")))
     inside = lambda x: ~_touches(F.col("base"), x["start"], x["end"]) & (x["start"] < F.col("b")) & (F.col("a") < x["end"])
-    made = _prepared(made, "label", "a", "b").select(F.explode(F.filter("cand", inside)).alias("x"), "label")
-    each = (made.select("x.said", "x.before", "x.after", "label")
-            .unionByName(spans.filter("kind = 'model'").select("said", "before", "after", F.lit(0.0).alias("label"))))
-    return each.withColumn("h", F.xxhash64("said", "before", "after"))
+    made = _prepared(made, "label", "n", "a", "b").select(F.explode(F.filter("cand", inside)).alias("x"), "label", "n")
+    each = (made.select("x.said", "x.before", "x.after", "label", "n")
+            .unionByName(spans.filter("kind = 'model'").select("said", "before", "after", F.lit(0.0).alias("label"), "n")))
+    return (each.groupBy("said", "before", "after", "label").agg(F.sum("n").alias("n"))
+            .withColumn("h", F.xxhash64("said", "before", "after")))
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[tuple[float, object]], float] | None:
@@ -267,23 +273,25 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[tuple[float, obje
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     each = stored(examples(docs), "pii-examples")
-    half = [each.filter(F.col("label") == y).orderBy("h", "said", "before", "after").limit(rows // 2) for y in (0.0, 1.0)]
-    sample = stored(half[0].union(half[1]).select("h", "label", F.array(*_features(F.col("said"), F.col("before"), F.col("after"))).alias("f"))
-                    .repartition(2), "pii-sample")
-    sample = sample.withColumn("features", array_to_vector("f"))
-    train, held = sample.filter("pmod(h, 4) <> 0"), sample.filter("pmod(h, 4) = 0")
-    if train.select("label").distinct().count() < 2:
+    feats = F.array(*_features(F.col("said"), F.col("before"), F.col("after")))
+    held = F.pmod("h", F.lit(4)) == 0
+    half = [each.filter((F.col("label") == y) & ~held).orderBy("h", "said", "before", "after").limit(rows // 2) for y in (0.0, 1.0)]
+    # a weight that grows with the logarithm of the copies: no repeated line outweighs the others
+    sample = stored(half[0].union(half[1]).select("label", (1 + F.log2("n")).alias("weight"), feats.alias("f")).repartition(2), "pii-sample")
+    if sample.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=32).fit(train)
-    bins = (model.transform(held).select("label", F.floor(vector_to_array("rawPrediction")[1] * 20).alias("b"))
-            .groupBy("b").agg(F.sum("label").alias("yes"), F.count("*").alias("n")).orderBy(F.desc("b")).collect())
-    yes = n = 0
-    least = float("inf")
-    for r in bins:  # margins in steps of a twentieth, from the surest down
-        yes, n = yes + r["yes"], n + r["n"]
-        if yes < PRECISION * n:
-            break
-        least = r["b"] / 20
+    model = (GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=32, weightCol="weight")
+             .fit(sample.withColumn("features", array_to_vector("f"))))
+    scores = model.transform(each.filter(held).select("label", "n", array_to_vector(feats).alias("features")))
+    yes = lambda c: F.sum(F.when(F.col("label") == 1, F.col(c)).otherwise(0))
+    bins = (scores.withColumns({"b": F.floor(vector_to_array("rawPrediction")[1] * 20), "one": F.lit(1)})
+            .groupBy("b").agg(yes("n").alias("yes"), F.sum("n").alias("n"), yes("one").alias("yes_once"), F.sum("one").alias("once"))
+            .orderBy(F.desc("b")).collect())
+    least, sums = float("inf"), [0, 0, 0, 0]
+    for r in bins:  # margins in steps of a twentieth, from the surest down; precise by occurrences and by distinct values
+        sums = [a + r[c] for a, c in zip(sums, ("yes", "n", "yes_once", "once"), strict=True)]
+        if sums[0] >= PRECISION * sums[1] and sums[2] >= PRECISION * sums[3] and r["yes"]:
+            least = r["b"] / 20
     trees = [(w, t._call_java("rootNode")) for w, t in zip(model.treeWeights, model.trees, strict=True)]
     # rawPrediction is twice the sum of the weighted trees
     return [(2 * w, t) for w, t in trees], least

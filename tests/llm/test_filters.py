@@ -83,6 +83,21 @@ def test_pii_beyond_the_fixed_formats(spark):
     assert [t for t in texts if got[t]["n_model"] and t not in dict(PLANTED)] == []
 
 
+@pytest.mark.parametrize("line", ["the +1 (017) 555-7713 and", "number 9807915762804490 is"])
+def test_pii_repeated_line(spark, line):
+    # Copies of one line must not fill the sample or the held-out part.
+    rnd = random.Random(5)
+    texts = base_corpus(rnd, 12) + [line] * 600
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], DOCS)
+    each = pii.examples(df)
+    assert each.count() == each.select("said", "before", "after", "label").distinct().count()
+    assert each.agg({"n": "max"}).first()[0] >= 600
+    model = pii.fit(df, rows=400)
+    assert model is not None and model[1] < float("inf")
+    planted = spark.createDataFrame([(1, PLANTED[1][0], "x", "y"), (2, HARMLESS[0], "x", "y")], DOCS)
+    assert {r["doc_id"]: r["n_model"] for r in pii.find_pii(planted, model).collect()} == {1: 1, 2: 0}
+
+
 def test_pii_empty(spark):
     assert pii.find_pii(spark.createDataFrame([], DOCS)).count() == 0
 
