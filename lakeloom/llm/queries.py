@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import packing, pii, quality_classifier, quality_rules, secret_scan, sharding, toxicity, url_filter
+from lakeloom.llm.collocations import SQL_COLLOCATIONS, collocations
 from lakeloom.llm.common import table
 from lakeloom.llm.decontamination import decontaminate
+from lakeloom.llm.line_dedup import SQL_LINE_DEDUP, dedup_lines
 from lakeloom.llm.ngram_join import ngram_jaccard_join
+from lakeloom.llm.spelling_variants import spelling_variants
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,9 +68,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_toxicity, op4_quality_classifier,
                             op5_secret_scan, op6_quality_rules, op7_decontamination, op8_pii,
-                            op9_url_filter, op10_sharding)}
+                            op9_url_filter, op10_sharding, op11_collocations, op12_spelling_variants,
+                            op13_line_dedup)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_collocations": SQL_COLLOCATIONS, "op13_line_dedup": SQL_LINE_DEDUP}
