@@ -6,8 +6,8 @@ would pair every fact of a key with every version of that key; here facts
 and versions are merged into one ordered stream instead and the latest
 version is carried forward, so the work is linear in rows.
 
-The stream is range-partitioned on (key, time) and frozen, so a key with a
-third of all rows spans many partitions ("segments"); a version that starts
+The stream is cut into ranges of (key, time) by fixed cuts, so a key with a
+third of all rows spans many of them ("segments"); a version that starts
 in an earlier segment reaches later ones through a per-segment table (one
 row per segment: bounded, broadcast).
 """
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import freeze
+from .ranges import range_cuts
 
 _SEG = "__seg"
 _KIND = "__kind"   # 0 = version, 1 = fact: a version starting at the fact's time applies
@@ -43,9 +43,8 @@ def as_of_join(facts: DataFrame, fact_key: str, fact_ts: str, versions: DataFram
         ver.alias(_V))
     order = ["__k", _T, _KIND]
     both = f.unionByName(v)
-    both = (both.repartitionByRange(num_partitions, *order) if num_partitions
-            else both.repartitionByRange(*order))
-    u = freeze(both.withColumn(_SEG, F.spark_partition_id()))
+    cuts = range_cuts(both, order, num_partitions)
+    u = cuts.assign(both, _SEG)
 
     w = Window.partitionBy(_SEG, "__k").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -56,7 +55,7 @@ def as_of_join(facts: DataFrame, fact_key: str, fact_ts: str, versions: DataFram
              .groupBy(_SEG)
              .agg(F.max_by(F.struct(F.col("__k").alias("k"), F.col(_V).alias("v")),
                            F.struct(*[F.col(c) for c in order])).alias("tail")))
-    segs = u.select(_SEG).distinct().join(tails, _SEG, "left")
+    segs = facts.sparkSession.range(cuts.count).select(F.col("id").cast("int").alias(_SEG)).join(tails, _SEG, "left")
     carry = segs.select(
         _SEG,
         F.last("tail", ignorenulls=True).over(

@@ -7,7 +7,7 @@ seen position) becomes one distributed pass:
   bounded by ``wm <= cutoff``, with typed literals (never text comparison);
 * ``assign_chunks``  -- the chunk each row would have landed in, i.e.
   ``floor((global_row_number - 1) / chunk_size) + 1`` under ``ORDER BY wm, pk``,
-  computed with a range partitioning instead of a single-partition global sort;
+  computed with fixed range cuts instead of a single-partition global sort;
 * ``next_cursor``    -- the new (wm, pk) high-water mark: ``max(struct(wm, pk))``.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import freeze
+from .ranges import range_cuts
 
 _PID = "__pid"
 _POS = "__pos"
@@ -79,28 +79,21 @@ def assign_chunks(df: DataFrame, order: Sequence[str], chunk_size: int, first_ch
                   chunk_col: str = "chunk_index", num_partitions: int | None = None) -> DataFrame:
     """Number rows into fixed-size chunks in ``order`` without a global sort.
 
-    Rows are range-partitioned and sorted within partitions; each row's
-    position inside its partition comes from ``monotonically_increasing_id``
-    (partition index in the upper bits, position in the lower bits). One
-    count per partition gives the offsets: a table with one row per
-    partition, so its size is bounded and it is broadcast. Positions are
-    checkpointed once, so the count pass sees exactly the same cut.
+    Rows fall into ranges with fixed cuts (``ranges``); one count per range gives
+    the offsets, a table with one row per range, so its size is bounded and it is
+    broadcast. A row's number is its place in its range plus the offset: one
+    shuffle, and the rows of a range stay sorted for the writer.
     """
     order = list(order)
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
-    ranged = ranged.withColumn(_PID, F.spark_partition_id())
-    ranged = ranged.withColumn(
-        _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    # Freeze positions: the count pass must see the same range bounds.
-    ranged = freeze(ranged)
+    ranged = range_cuts(df, order, num_partitions).assign(df, _PID)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         _PID,
         (F.sum("__n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("__offset"))
     offsets = offsets.fillna(0, subset=["__offset"])
-    out = ranged.join(F.broadcast(offsets), on=_PID, how="inner")
+    place = F.row_number().over(Window.partitionBy(_PID).orderBy(*order)) - 1
+    out = ranged.withColumn(_POS, place).join(F.broadcast(offsets), on=_PID, how="inner")
     rn = F.col("__offset") + F.col(_POS)  # 0-based global row number
     return out.withColumn(chunk_col, (F.floor(rn / F.lit(chunk_size)) + F.lit(first_chunk))
                           .cast("long")).drop(_PID, _POS, "__offset")

@@ -500,3 +500,5 @@ def q_table_counts(spark, sf):
 from . import catalog_io  # noqa: E402,F401
 from . import catalog_extra  # noqa: E402,F401
 from . import catalog_feeds  # noqa: E402,F401
+from . import catalog_incremental  # noqa: E402,F401
+from . import catalog_tables  # noqa: E402,F401

@@ -181,7 +181,7 @@ def q_daily_revenue_late(spark, sf):
         "status", F.when(key % 7 == 0, F.lit("PROCESSING")).otherwise(F.col("status")))
     refresh_mart(early, path)
     refresh_mart(fact, path)
-    return spark.read.parquet(path).select(F.col("order_date").cast("date").alias("order_date"), "revenue", "order_count")
+    return W.read_current(spark, path).select(F.col("order_date").cast("date").alias("order_date"), "revenue", "order_count")
 
 
 def _payments(spark, sf):

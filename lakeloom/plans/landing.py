@@ -1,9 +1,10 @@
 """RAW landing and Bronze loading.
 
 ``extract_to_raw`` replaces a cursor-paginated extraction loop with one
-distributed job per table: cursor filter -> chunk numbering (range partition)
--> stamped JSON lines in ``ingestion_date=/hour=/batch_id=/chunk=`` folders ->
-control rows (checkpoint, manifest) committed after the data.
+distributed job per table: cursor filter -> chunk numbering (fixed range cuts)
+-> stamped JSON lines in one ``ingestion_date=/hour=/batch_id=`` folder, the chunk
+as a column -> control rows (checkpoint, manifest) committed after the data. Counts
+and cursors are observed while the rows are written.
 
 ``bronze_load`` reads a RAW tree (JSON lines and JSON-array files alike),
 adds audit columns and canonical columns, and optionally skips files that an
@@ -16,14 +17,14 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import control
 from ..functions.audit import batch_id, ingestion_date_utc, stamp_records, utc_now, with_load_audit
 from ..functions.dates import TS_TEXT_MICROS, parse_ts
-from ..operators.keyset import assign_chunks, cursor_filter, next_cursor
+from ..operators.keyset import assign_chunks, cursor_filter
 from ..registry import ENTITIES, EXTRACT_MODES, Entity
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl_batch
@@ -107,7 +108,7 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
                                    null_watermark=null_watermark)
             order = [_WM] + ([_PK] if pks else [])
         elif pks:
-            sliced = cursor_filter(df, "initial", None, _PK, last_pk=last_pk)
+            sliced = cursor_filter(df, "initial", None, _PK, last_pk=last_pk if mode == "initial" else None)
             order = [_PK]
         else:
             sliced = df
@@ -117,35 +118,26 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
                                 chunk_col="__chunk")
         stamped = stamp_records(chunked, entity.name, run_ts.isoformat(), run_id, mode,
                                 F.col("__chunk"))
-        out = stamped.withColumn("chunk", F.format_string("%05d", F.col("__chunk")))
         batch_path = (f"{raw_base}/{entity.name}/ingestion_date={ingestion_date_utc(run_ts)}/"
                       f"hour={run_ts.strftime('%H')}/batch_id={run_id}")
         data_cols = [c for c in source.columns] + ["_source_table", "_ingestion_ts", "_batch_id",
                                                    "_ingestion_mode", "_chunk_index"]
-        write_jsonl_batch(out.select(*data_cols, "chunk"), batch_path)
-
-        # Control values: one row, computed by Spark from the frozen chunks.
-        cur = next_cursor(chunked, _WM if wm else None, _PK if pks else None)
-        if wm and entity.watermark_type != "int":
-            cur = cur.withColumn("last_watermark",
-                                 F.date_format("last_watermark", TS_TEXT_MICROS))
-        more = [F.max("__chunk").alias("max_chunk")]
-        more.append((F.count_if(F.col(_WM).isNull()) if wm else F.lit(0)).alias("null_wm"))
-        more.append((F.max(_PK) if pks else F.lit(None)).alias("max_pk"))
-        stats = cur.crossJoin(chunked.agg(*more)).collect()[0]  # one row by one row
-        null_rows = stats["null_wm"]
+        # Control values are found while the rows are written: counts, last chunk, cursors.
+        seen = Observation()
+        out = stamped.observe(seen, *_cursor_metrics(entity, pks, mode)).select(*data_cols)
+        write_jsonl_batch(out, batch_path, chunk_size)
+        stats = seen.get
+        null_rows, rows = stats["null_wm"], stats["rows"]
         if mode == "incremental" and wm and null_watermark != "include":
             null_rows = df.filter(F.col(_WM).isNull()).count()
-        rows = stats["rows"]
         new_chunk = stats["max_chunk"] or last_chunk
-        cursor_wm = stats["last_watermark"] if wm and rows else None
-        cursor_pk = stats["last_pk"] if pks and rows else None
-        resume = stats["max_pk"] if mode == "initial" and pks and rows else cursor_pk
+        cursor_wm, cursor_pk = stats["last_watermark"], stats["last_pk"]
+        resume = stats["max_pk"] if mode == "initial" else cursor_pk
         saved = {
             "table": entity.name, "mode": mode, "watermark_column": wm,
             "pk_column": ",".join(pks) or None,
-            "last_watermark": (format_wm(cursor_wm) if cursor_wm is not None else last_wm),
-            "last_pk": json.dumps(list(resume)) if resume is not None else cp.get("last_pk"),
+            "last_watermark": cursor_wm if cursor_wm is not None else last_wm,
+            "last_pk": resume if resume is not None else cp.get("last_pk"),
             "last_chunk_index": int(new_chunk),
             "last_success_utc": run_ts.isoformat(),
             "row_count_last_run_table_total": int(rows),
@@ -156,9 +148,7 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
         control.save_checkpoint(spark, cp_path, saved)
         if mode == "initial" and cursor_wm is not None and not control.load_checkpoint(
                 spark, cp_path, entity.name, "incremental"):
-            control.save_checkpoint(spark, cp_path, {
-                **saved, "mode": "incremental",
-                "last_pk": json.dumps(list(cursor_pk)) if cursor_pk is not None else None})
+            control.save_checkpoint(spark, cp_path, {**saved, "mode": "incremental", "last_pk": cursor_pk})
         row = {**base_row, "status": "completed", "rows": int(rows),
                "chunks": int(new_chunk - last_chunk), "raw_path": batch_path,
                "null_watermark_rows": int(null_rows),
@@ -185,8 +175,26 @@ def parse_wm_literal(value, entity: Entity):
     return ts.strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
-def format_wm(value) -> str:
-    return str(value)
+def _cursor_metrics(entity: Entity, pks: list[str], mode: str) -> list[Column]:
+    """Rows, NULL watermarks, last chunk and, as text, the greatest (watermark, key) and key."""
+    wm, none = entity.watermark, F.lit(None).cast("string")
+    present = F.lit(True)
+    for c in ([_WM] if wm else []) + ([_PK] if pks else []):
+        present = present & F.col(c).isNotNull()
+    best = F.max(F.when(present, F.struct(*([F.col(_WM).alias("wm")] if wm else []), *([F.col(_PK).alias("pk")] if pks else []))))
+
+    def said(key: Column) -> Column:  # a JSON list of the key's columns
+        return F.when(key.isNotNull(), F.to_json(F.array(*(key.getField(k).cast("string") for k in pks))))
+    if not wm:
+        last_wm = none
+    elif entity.watermark_type == "int":
+        last_wm = best.getField("wm").cast("string")
+    else:
+        last_wm = F.date_format(best.getField("wm"), TS_TEXT_MICROS)
+    return [F.count(F.lit(1)).alias("rows"), (F.count_if(F.col(_WM).isNull()) if wm else F.count_if(F.lit(False))).alias("null_wm"),
+            F.max("__chunk").alias("max_chunk"), (last_wm if wm else F.max(none)).alias("last_watermark"),
+            (said(best.getField("pk")) if pks else F.max(none)).alias("last_pk"),
+            (said(F.max(_PK)) if pks else F.max(none)).alias("max_pk")]
 
 
 # --------------------------------------------------------------------------- bronze

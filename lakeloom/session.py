@@ -53,6 +53,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder; none if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of this library has written."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 

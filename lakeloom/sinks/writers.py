@@ -15,16 +15,18 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import delete_path, list_names
+
 
 # --------------------------------------------------------------------------- appends
 def append_partitioned(df: DataFrame, path: str,
                        partition_cols: Sequence[str] = ("ingestion_date",)) -> None:
     """Append, partitioned by load date; new columns are allowed (merged on read)."""
-    (df.write.mode("append").partitionBy(*partition_cols).parquet(path))
+    (rebalanced(df, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path))
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -42,13 +44,13 @@ def append_text(df: DataFrame, path: str) -> None:
     df.select(F.col(df.columns[0]).cast("string").alias("value")).write.mode("append").text(path)
 
 
-def write_jsonl_batch(df: DataFrame, batch_path: str, chunk_col: str = "chunk") -> None:
-    """JSON lines of one batch, one folder per chunk. The batch owns its folder
-    and replaces it as a whole, so a retried batch leaves no row of the first try."""
-    (rebalanced(df, [chunk_col]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static")
-     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-     .partitionBy(chunk_col).json(batch_path))
+def write_jsonl_batch(df: DataFrame, batch_path: str, chunk_rows: int = 0) -> None:
+    """JSON lines of one batch as they are dealt and sorted, in files of ``chunk_rows`` rows
+    at most (0: no bound). The batch owns its folder and replaces it as a whole, so a
+    retried batch leaves no row of the first try."""
+    (df.write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").option("maxRecordsPerFile", str(chunk_rows))
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(batch_path))
 
 
 # --------------------------------------------------------------------------- overwrites
@@ -77,21 +79,28 @@ _COMMIT_SCHEMA = T.StructType([
 ])
 
 
-def write_version(df: DataFrame, base: str, partition_cols: Sequence[str] = ()) -> str:
+def write_version(df: DataFrame, base: str, partition_cols: Sequence[str] = (), clustered: bool = False,
+                  keep: int = 2) -> str:
     """Overwrite-by-swap: data goes to a fresh version folder, then a commit
     record points readers at it. A table can thus be rebuilt from itself, and
-    a crash before the commit leaves readers on the previous version."""
-    spark = df.sparkSession
+    a crash before the commit leaves readers on the previous version. Rows are
+    counted as they are written. The last ``keep`` versions stay (a reader may
+    still be on the one before); older ones are removed after the commit."""
+    spark, base = df.sparkSession, base.rstrip("/")
     version = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    target = f"{base.rstrip('/')}/version={version}"
-    w = df.write.mode("errorifexists")
+    target = f"{base}/version={version}"
+    counted = Observation()
+    df = df if clustered else rebalanced(df, partition_cols)
+    w = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(target)
-    rows = spark.read.parquet(target).count()
     commit = spark.createDataFrame(
-        [(version, datetime.now(timezone.utc), rows)], _COMMIT_SCHEMA)
-    commit.write.mode("append").parquet(f"{base.rstrip('/')}/{_COMMITS}")
+        [(version, datetime.now(timezone.utc), counted.get["rows"])], _COMMIT_SCHEMA)
+    commit.coalesce(1).write.mode("append").parquet(f"{base}/{_COMMITS}")
+    old = [n for n in list_names(spark, base) if n.startswith("version=") and n < f"version={version}"]
+    for name in old[:max(0, len(old) - keep + 1)]:
+        delete_path(spark, f"{base}/{name}")
     return target
 
 

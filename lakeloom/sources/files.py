@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+CORRUPT = "_corrupt_record"
+
 
 def read_json_tree(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                    corrupt_column: str | None = None) -> DataFrame:
@@ -26,10 +28,12 @@ def read_json_tree(spark: SparkSession, path: str | list[str], schema: T.StructT
 
 
 def read_csv_tree(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-                  infer: bool = False) -> DataFrame:
+                  infer: bool = False, corrupt_column: str | None = None) -> DataFrame:
     """CSV with header, recursive; declared schema (checked against the header) or
     all-text unless ``infer``."""
     r = spark.read.option("recursiveFileLookup", "true").option("header", "true")
+    if corrupt_column:
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
     if schema is not None:
         r = r.schema(schema).option("enforceSchema", "false")
     elif infer:
@@ -38,11 +42,13 @@ def read_csv_tree(spark: SparkSession, path: str | list[str], schema: T.StructTy
 
 
 def read_raw(spark: SparkSession, path: str | list[str], fmt: str = "json",
-             schema: T.StructType | None = None) -> DataFrame:
+             schema: T.StructType | None = None, corrupt_column: str | None = None) -> DataFrame:
+    """RAW files of one format. With ``corrupt_column`` (a text column of ``schema``) it holds the
+    text of each row that does not parse under the schema."""
     if fmt == "json":
-        return read_json_tree(spark, path, schema)
+        return read_json_tree(spark, path, schema, corrupt_column)
     if fmt == "csv":
-        return read_csv_tree(spark, path, schema)
+        return read_csv_tree(spark, path, schema, corrupt_column=corrupt_column)
     if fmt == "parquet":
         paths = [path] if isinstance(path, str) else path
         return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
