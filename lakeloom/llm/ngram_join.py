@@ -393,20 +393,39 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096
     return total.astype(np.int64)
 
 
+def _blocks(large: DataFrame) -> DataFrame:
+    """(cls, comp, block, only): the block of each class in its longest list. A component with ``BLOCK``
+    classes there has blocks of its own (``only`` is the component), smaller ones share blocks (null)."""
+    home = large.groupBy("cls").agg(F.max(F.struct("size", "token")).alias("h"), F.first("comp").alias("comp"))
+    home = home.select("cls", "comp", F.col("h.token").alias("token"))
+    many = home.groupBy("token", "comp").agg(F.count("*").alias("n")).filter(F.col("n") >= BLOCK).select("token", "comp", F.col("comp").alias("only"))
+    home = stored(home.join(many, ["token", "comp"], "left"), "ngram-home")
+    parts = home.groupBy("token", "only").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    parts = parts.toDF("list", "kind", "parts")
+    return (home.join(parts, (F.col("token") == F.col("list")) & F.col("only").eqNullSafe(F.col("kind")))
+            .select("cls", "comp", F.xxhash64("token", "only", F.pmod(F.xxhash64("cls"), "parts")).alias("block"), "only"))
+
+
+def _block_pairs(large: DataFrame, home: DataFrame) -> DataFrame:
+    """(x, y), x <= y: blocks with a token in common that are not both of one component."""
+    met = large.join(home.select("cls", "block", "only"), "cls").select("token", "block", "only").distinct()
+    return (met.toDF("token", "x", "x_only").join(met.toDF("token", "y", "y_only"), "token").filter("x <= y")
+            .filter("x_only IS NULL OR y_only IS NULL OR x_only <> y_only").select("x", "y").distinct())
+
+
 def block_links(large: DataFrame, prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) among classes that share a token of a long posting list; enough of them to join their components.
 
     A class lives in a block of some ``BLOCK`` classes of its longest list. Blocks
     that have a token in common are compared as wholes: the prefixes of both
     blocks first, then the sets of those classes that have a candidate. So what is
-    shuffled grows with the number of blocks in a list, not of pairs.
+    shuffled grows with the number of blocks in a list, not of pairs. Blocks of one
+    component are not compared with each other: a class apart beside very many
+    copies that are linked already costs one pair of blocks for each of theirs.
     """
-    home = large.groupBy("cls").agg(F.max(F.struct("size", "token")).alias("h"), F.first("comp").alias("comp"))
-    parts = F.ceil(F.col("h.size") / BLOCK)
-    home = home.select("cls", "comp", F.xxhash64("h.token", F.pmod(F.xxhash64("cls"), parts)).alias("block"))
-    met = large.join(home.select("cls", "block"), "cls").select("token", "block").distinct()
-    met = (met.withColumnRenamed("block", "x").join(met.withColumnRenamed("block", "y"), "token").filter("x <= y")
-           .select("x", "y").distinct())
+    home = _blocks(large)
+    met = _block_pairs(large, home)
+    home = home.select("cls", "comp", "block")
     member = stored(home.join(prefixes, "cls"), "ngram-members")
     side = lambda c: met.join(member.withColumnRenamed("block", c), c).select(
         "x", "y", F.lit(c).alias("side"), "cls", "comp", "n", "l", "prefix")

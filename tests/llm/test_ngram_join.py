@@ -84,6 +84,28 @@ def test_long_lists_by_blocks(spark, monkeypatch):
     assert len({c for *_, c in brute(rows)}) > 3
 
 
+def test_block_pairs_grow_with_the_copies_beside_a_stray(spark, monkeypatch):
+    """A component of n classes and one class apart that has a token of theirs: pairs in proportion to n."""
+    from lakeloom.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    found = []
+    for n in (400, 800, 1600):
+        rows = [(token, cls, 0, n) for token in range(5) for cls in range(n)] + [(0, n, n, n)]
+        large = spark.createDataFrame(rows, "token long, cls long, comp long, size long")
+        found.append(ngram_join._block_pairs(large, ngram_join._blocks(large)).count())
+    assert found[0] <= 2 * 400 / 16 + 1 and found[2] <= 4.5 * found[0]
+
+
+def test_copies_with_a_stray(spark, monkeypatch):
+    from lakeloom.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "SMALL", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[:50], f"x{i}", *base[50:]])) for i in range(40)]
+    rows += [(100, " ".join([*base[:20], *(f"y{i}" for i in range(15))])), (101, " ".join([*base[:20], *(f"y{i}" for i in range(16))]))]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
