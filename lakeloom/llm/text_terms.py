@@ -73,14 +73,20 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def training_sample(labels: DataFrame, label: str, parts: int, part: int, rows: int) -> DataFrame:
-    """(doc_id, label) of at most ``rows`` labelled rows outside the held-out part, in order of a hash of the id."""
+    """(doc_id, label) of at most ``rows`` labelled ids outside the held-out part, in order of a hash of the id.
+
+    Repeated label rows are one; where they differ the larger label counts."""
     return (labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label"))
             .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), parts, part))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows))
+            .groupBy("doc_id").agg(F.max("label").alias("label"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
 
 
 def sample_terms(docs: DataFrame, sample: DataFrame, terms) -> DataFrame:
-    """(doc_id, label, terms, counts) of the sampled documents; the sample's size is bounded, so it is broadcast."""
+    """(doc_id, label, terms, counts) of the sampled documents; the sample's size is bounded, so it is broadcast.
+
+    One row a doc_id, of the texts under it that of the smallest hash, found by partial
+    minima: an id that very many rows share is no more than one row of the sample."""
     def run(rows):
         for batch in rows:
             found = list(terms(batch.column(2)))
@@ -91,7 +97,8 @@ def sample_terms(docs: DataFrame, sample: DataFrame, terms) -> DataFrame:
                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate([c for *_, c in found]).astype(np.int32)))],
                 names=["doc_id", "label", "terms", "counts"])
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return (texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
+    one = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return (one.select("doc_id", "label", "text")
             .mapInArrow(run, "doc_id long, label int, terms array<int>, counts array<int>"))
 
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import types as T
 
 from lakeloom.llm import packing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
+from lakeloom.llm.text_terms import sample_terms, training_sample, word_terms
 
 DOCS = T.StructType([T.StructField(c, t) for c, t in (
     ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()),
@@ -172,6 +173,34 @@ def test_sharding(spark):
 LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
 
 
+def test_machine_learns_a_pair_whose_words_tell_nothing_alone(spark):
+    """Label: both words or neither. Each word is as frequent in clean texts as in others."""
+    rnd = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(200)]
+    texts, labels = [], []
+    for i in range(4500):
+        w = rnd.choices(vocabulary, k=rnd.randint(5, 60))
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        for word, there in (("nitwit", a), ("groupies", b)):
+            if there:
+                w.insert(rnd.randrange(len(w)), word)
+        texts.append(" ".join(w))
+        labels.append((i, None, int(a == b)))
+    df = spark.createDataFrame([(i, t, *[None] * 5) for i, t in enumerate(texts)], DOCS)
+    got = toxicity.toxicity_scores(df, toxicity.fit_toxicity(df, spark.createDataFrame(labels, LABELS))).filter("held_out").collect()
+    assert len(got) > 700 and np.mean([r["predicted"] == labels[r["doc_id"]][2] for r in got]) > 0.9
+
+
+def test_a_labelled_id_of_many_rows_is_one_example(spark):
+    texts = [f"text {i}" for i in range(300)] + ["word of its own"]
+    df = spark.createDataFrame([(7 if i < 300 else 8, t, *[None] * 5) for i, t in enumerate(texts)], DOCS).repartition(4)
+    labels = spark.createDataFrame([(7, 1, 0)] * 50 + [(7, 1, 1), (8, 1, 0), (9, 1, 0)], LABELS)
+    sample = training_sample(labels, "toxic", 5, 4, 10)
+    assert sorted(map(tuple, sample.collect())) == sorted((d, y) for d, y in ((7, 1), (8, 0), (9, 0)) if zlib.crc32(str(d).encode()) % 5 != 4)
+    got = sample_terms(df, training_sample(labels, "toxic", 5, 9, 10), lambda t: word_terms(t, 20, (4,))).collect()
+    assert sorted((r["doc_id"], r["label"], len(r["terms"])) for r in got) == [(7, 1, 2), (8, 0, 4)]
+
+
 def test_classifiers_on_held_out_rows(spark):
     rnd = random.Random(9)
     vocabulary = [f"w{i}" for i in range(200)]
