@@ -119,7 +119,8 @@ def personal(kind: Column, said: Column) -> Column:
     d = _digits(said)
     ten = F.substring(F.concat(F.lit("2025550"), d), -10, 10)
     phone = [F.substring(said, 2, 40), F.concat(F.lit("00 "), F.substring(said, 2, 40)), F.concat(F.lit("00"), F.substring(said, 2, 40)),
-             F.concat(F.lit("00 "), _grouped(d, (2, 3, 7), " ")), F.concat(F.lit("0"), _grouped(d, (3, 7), " ")),
+             F.concat(F.lit("00 "), _grouped(d, (2, 3, 7), " ")), F.concat(F.lit("00 "), _grouped(F.concat(F.substring(d, 1, 2), ten), (2, 3, 7), " ")),
+             F.concat(F.lit("0"), _grouped(d, (3, 7), " ")),
              F.concat(F.lit("0"), _grouped(d, (3, 7), "/")), F.concat(F.lit("0"), _grouped(d, (3, 3, 2, 2), " ")),
              F.concat(F.lit("("), _grouped(ten, (3,), ""), F.lit(") "), _grouped(F.substring(ten, 4, 7), (3, 4), "-")),
              *(_grouped(ten, (3, 3, 4), by) for by in ("-", " ", "."))]
@@ -254,7 +255,8 @@ def examples(docs: DataFrame) -> DataFrame:
                    .agg(F.count("*").alias("n")), "pii-spans")
     views = lambda label, texts: F.transform(texts, lambda v: F.struct(F.lit(label).alias("label"), v.alias("view")))
     kind, said = F.col("kind"), F.col("said")
-    made = (spans.filter("kind <> 'model'")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a span becomes some 20 texts: the few files are dealt out first
+    made = (spans.filter("kind <> 'model'").repartition(tasks, "said", "before", "after")
             .select("before", "after", "n", F.explode(F.concat(views(1.0, personal(kind, said)), views(0.0, plain(kind, said)))).alias("v"))
             .filter("v.view is not null")
             .select(F.lit(0).alias("doc_id"), F.concat("before", "v.view", "after").alias("text"), F.col("v.label").alias("label"), "n",
