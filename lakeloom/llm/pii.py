@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import stored
 
 TRAIN_ROWS = 10_000
-TREES, DEPTH = 12, 3
+TREES, DEPTH = 16, 4
 PRECISION = 0.99
 MARGIN = 12
 
