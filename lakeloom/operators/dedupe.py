@@ -1,4 +1,4 @@
-"""Latest-wins and first-wins deduplication (one row per business key).
+"""Latest-wins deduplication (one row per business key).
 
 ``latest_by`` is ``row_number() = 1`` over the key ordered by recency. Catalyst
 turns the filter into a ``WindowGroupLimit`` that also runs *before* the
@@ -34,9 +34,3 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         order.append(row_tiebreak(df).desc())
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
-
-
-def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-             tiebreak: bool = True) -> DataFrame:
-    """Earliest row per key (first-arrival-wins), the batch twin of streaming dedupe."""
-    return latest_by(df, keys, order, tiebreak)

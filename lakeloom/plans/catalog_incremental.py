@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..quality import sketches
 from ..quality.declared import Rule, check_declared
 from ..registry import API_ORDER_SCHEMA_JSON
 from ..session import delete_path, scratch_path
@@ -213,3 +214,31 @@ def q_declared_rules(spark, sf):
     tables["customer"] = tables["customer"].filter("c_custkey % 7 <> 0").withColumn(
         "c_name", F.when(F.col("c_custkey") % 10 != 0, F.col("c_name")))
     return check_declared(tables, RULES)
+
+
+@query("profile_sketch", """
+SELECT 'o_custkey' AS column, COUNT(*) AS rows, COUNT(*) - COUNT(o_custkey) AS nulls, TRUE AS distinct_within, TRUE AS month_within FROM orders
+UNION ALL SELECT 'o_orderkey', COUNT(*), COUNT(*) - COUNT(o_orderkey), TRUE, TRUE FROM orders
+UNION ALL SELECT 'o_status', COUNT(*), COUNT(*) FILTER (WHERE o_orderstatus = 'P'), TRUE, TRUE FROM orders""")
+def q_profile_sketch(spark, sf):
+    """Profiles by month, added in three parts of which one comes twice; the distinct counts of
+    all days and of some months within 2 % of the exact ones."""
+    path = scratch_path(spark, "profiles")
+    columns = ("o_orderkey", "o_custkey", "o_status")
+    orders = S.table(spark, sf, "orders").withColumn("o_status", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
+    parts = [orders.filter("o_orderdate < '1994-01-01'"), orders.filter("o_orderdate >= '1994-01-01' AND o_orderdate < '1997-01-01'"),
+             orders.filter("o_orderdate >= '1997-01-01'")]
+    for part in (*parts, parts[1]):
+        sketches.add_days(part, columns, "o_orderdate", path, "month")
+
+    def exact(df):
+        counts = df.agg(*(F.count_distinct(c).alias(c) for c in columns))
+        return counts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in columns))))
+
+    def within(found, df, name):
+        close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(0.02 * F.col("exact"), F.lit(1))
+        return found.join(exact(df), "column").withColumn(name, close)
+    whole = within(sketches.profile(spark, path), orders, "distinct_within").select("column", "rows", "nulls", "distinct_within")
+    some = within(sketches.profile(spark, path, "1995-03-01", "1995-08-31"),
+                  orders.filter("o_orderdate BETWEEN '1995-03-01' AND '1995-08-31'"), "month_within").select("column", "month_within")
+    return whole.join(some, "column")

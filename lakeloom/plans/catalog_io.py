@@ -14,12 +14,13 @@ from pyspark.sql import types as T
 from .. import control
 from ..functions.audit import batch_id
 from ..operators.incremental import high_water_slice, upsert_partitions
-from ..registry import ORDERS, SOURCE_ENTITIES, raw_schema
+from ..registry import API_ORDER_SCHEMA_JSON, ORDERS, RAW_STAMP_COLUMNS, SOURCE_ENTITIES, raw_schema
 from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources.bulk_csv import load_csv_folder
 from ..sources.files import read_json_tree, read_text_lines, read_whole_files
 from ..sources.pages import read_page_files
+from ..sources.schema import record_to_struct
 from ..streaming import pipelines as P
 from . import medallion as M
 from . import raw_fixtures as RF
@@ -28,25 +29,9 @@ from .catalog import SQL_DAILY, SQL_DB_ORDERS, SQL_F1, _fact_orders, _silver_ord
 from .landing import bronze_load, extract_to_raw
 from .pipeline import refresh_mart
 
-API_SCHEMA = T.StructType([
-    T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
-    T.StructField("order_date", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("total_amount", T.DoubleType()), T.StructField("currency", T.StringType()),
-    T.StructField("created_at", T.StringType()), T.StructField("updated_at", T.StringType()),
-])
-DB_COLUMNS = ("order_id", "customer_id", "order_status", "order_purchase_timestamp",
-              "order_approved_at", "order_delivered_carrier_date",
-              "order_delivered_customer_date", "order_estimated_delivery_date")
-STAMP_FIELDS = [T.StructField("_source_table", T.StringType()),
-                T.StructField("_ingestion_ts", T.StringType()),
-                T.StructField("_batch_id", T.StringType()),
-                T.StructField("_ingestion_mode", T.StringType()),
-                T.StructField("_chunk_index", T.IntegerType())]
-DB_RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in DB_COLUMNS]
-                             + STAMP_FIELDS)
-MIXED_RAW_SCHEMA = T.StructType(
-    list(DB_RAW_SCHEMA.fields)
-    + [f for f in API_SCHEMA.fields if f.name not in DB_COLUMNS])
+API_SCHEMA = record_to_struct(API_ORDER_SCHEMA_JSON)
+MIXED_RAW_SCHEMA = raw_schema("orders")
+DB_RAW_SCHEMA = T.StructType([f for f in MIXED_RAW_SCHEMA.fields if f.name in ORDERS.columns + RAW_STAMP_COLUMNS])
 
 
 # --------------------------------------------------------------------------- RAW -> Bronze

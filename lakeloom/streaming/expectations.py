@@ -54,16 +54,6 @@ def expectation_counts(df: DataFrame, expectations: Sequence[Expectation]) -> Da
     return df.agg(*aggs)
 
 
-def expectation_report(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """Long form: (expectation, action, violations, rows) -- one row per rule."""
-    counts = expectation_counts(df, expectations)
-    stack = ", ".join(f"'{e.name}', '{e.action}', `{e.name}`" for e in expectations)
-    return counts.selectExpr(
-        f"stack({len(expectations)}, {stack}) AS (expectation, action, violations)", "rows") \
-        .select("expectation", "action", F.col("violations").cast("long"),
-                F.col("rows").cast("long"))
-
-
 def apply_expectations(df: DataFrame, expectations: Sequence[Expectation],
                        metrics_path: str | None = None, batch_id: int = 0) -> DataFrame:
     """Count violations, enforce ``fail`` rules, return the rows to write."""

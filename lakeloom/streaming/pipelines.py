@@ -29,6 +29,7 @@ from ..functions.text import upper_trim
 from ..sources.files import read_json_stream, read_parquet_stream
 from .expectations import Expectation, apply_expectations
 
+# Columns of the streaming Silver table.
 SILVER_ORDER_COLUMNS = ("order_id", "customer_id", "order_date", "status", "total_amount",
                         "currency", "created_at", "updated_at", "_ingestion_ts")
 
@@ -57,13 +58,8 @@ def run_bronze(spark: SparkSession, raw_path: str, schema: T.StructType, bronze_
 
 
 def silver_projection(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        F.col("order_id"), F.col("customer_id"),
-        parse_date("order_date", "yyyy-MM-dd").alias("order_date"),
-        upper_trim("status").alias("status"),
-        F.col("total_amount"), F.col("currency"), F.col("created_at"), F.col("updated_at"),
-        F.col("_ingestion_ts"),
-    )
+    return bronze.withColumns({"order_date": parse_date("order_date", "yyyy-MM-dd"),
+                               "status": upper_trim("status")}).select(*SILVER_ORDER_COLUMNS)
 
 
 def silver_stream(spark: SparkSession, bronze_path: str, bronze_schema: T.StructType,
