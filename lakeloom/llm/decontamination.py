@@ -13,8 +13,10 @@ block against all documents; so it may be of any size.
 
 Odd input: null or empty texts and items match nothing; items of fewer than
 ``Q`` folded bytes are left out (too short to tell); equal items are reported each;
-repeated documents are reported each; other columns are ignored; with an empty
-benchmark no document is contaminated.
+repeated documents are reported each; very long documents are read whole; of regions with
+equally few edits the one that shares most q-grams is reported, then the first band's;
+other columns are ignored; with an empty benchmark no document is contaminated, with no
+documents there are no rows.
 """
 
 from __future__ import annotations

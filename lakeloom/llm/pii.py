@@ -25,8 +25,9 @@ recursion: separators that cannot be inside a match are first replaced by
 characters of equal length, after which runs are plain character classes.
 
 Odd input: a null text is empty; an empty text has no spans (hash of the empty
-string); very long texts are read whole; repeated rows are read each; without
-any fixed span nothing is added; other columns are ignored.
+string); very long texts are read whole; repeated rows are read each; equal candidates
+get equal margins, at the threshold they are added; without any fixed span nothing is
+added; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

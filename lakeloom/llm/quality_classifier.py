@@ -8,9 +8,11 @@ by FTRL-proximal with L1 and L2 terms, in one task. Scores are sparse dot
 products over whole texts.
 
 Odd input: null and empty texts have no terms and get the score of the bias; rows
-without doc_id are scored (held_out false); repeated rows are scored each; label
-rows without id, label or document are not used; without any usable label every
-score is 0.5. Other columns are ignored.
+without doc_id are scored (held_out false); repeated rows are scored each; very long
+texts are read whole, in pieces; label rows without id, label or document are not used;
+of a labelled id that many rows share one text is learned from, and ties go by the hash,
+then the id; without any usable label every score is 0.5; an empty table gives no rows.
+Other columns are ignored.
 """
 
 from __future__ import annotations

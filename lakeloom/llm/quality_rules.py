@@ -7,8 +7,9 @@ counts per bit pattern, what each rule rejects alone and what leaving it out
 would keep.
 
 Odd input: a null or empty text measures 0 everywhere and fails ``few_words``; a
-very long text is measured whole; repeated rows are separate rows; other columns
-are ignored.
+very long text is measured whole; repeated rows are separate rows; rows with equal
+measurements get the same bits, there are no ties to break; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloom.llm import packing, pii, quality_classifier, quality_rules, secret_scan, sharding, toxicity, url_filter
 from lakeloom.llm.collocations import SQL_COLLOCATIONS, collocations
-from lakeloom.llm.common import table
+from lakeloom.llm.common import stored, table
 from lakeloom.llm.decontamination import decontaminate
 from lakeloom.llm.line_dedup import SQL_LINE_DEDUP, dedup_lines
 from lakeloom.llm.ngram_join import ngram_jaccard_join
@@ -51,6 +53,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept", "failures", "policy")
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of all documents, stored once, under every policy: what each rule rejects and what it alone rejects."""
+    ledger = stored(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    out = [quality_rules.ablations(ledger, version).withColumn("policy", F.lit(version)) for version in sorted(quality_rules.POLICIES)]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,6 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_toxicity, op4_quality_classifier,
                             op5_secret_scan, op6_quality_rules, op7_decontamination, op8_pii,
                             op9_url_filter, op10_sharding, op11_collocations, op12_spelling_variants,
-                            op13_line_dedup)}
+                            op13_line_dedup, quality_rule_ablations)}
 
 ORACLE: dict[str, str] = {"op11_collocations": SQL_COLLOCATIONS, "op13_line_dedup": SQL_LINE_DEDUP}

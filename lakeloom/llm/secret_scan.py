@@ -8,9 +8,10 @@ log-likelihood ratio random : ordinary reaches ``THRESHOLD`` nats. The random
 model starts from a uniform prior, since keys draw their characters evenly.
 
 Odd input: a null text is empty; an empty text has no spans (the hash of the empty
-string); offsets are code points, end exclusive; repeated rows are scanned each;
-with no document at all both models are the prior and nothing is added; other
-columns are ignored.
+string); offsets are code points, end exclusive; very long texts are scanned whole;
+repeated rows are scanned each; runs of equal likelihood ratio are treated alike, there
+are no ties to break; with no document at all both models are the prior, nothing is added
+and no row is returned; other columns are ignored.
 """
 
 from __future__ import annotations

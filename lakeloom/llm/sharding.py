@@ -13,8 +13,8 @@ is spread like any other.
 
 Odd input: a null source is a source of its own; a null text has 0 bytes (size 16)
 and the crc of the empty text; rows without doc_id or equal rows are ordered
-arbitrarily among themselves but each gets a slot; other columns are ignored; an
-empty table gives no rows.
+arbitrarily among themselves but each gets a slot; a very long text is one row of its
+size; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

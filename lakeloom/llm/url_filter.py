@@ -14,8 +14,9 @@ label are blocked examples, hosts that no rule blocks are allowed ones.
 
 Odd input: a null url, or one without ``://``, has an empty host and path, no rule
 and the model's verdict on the empty features; very long urls are read whole;
-repeated rows are judged each; other columns are ignored; without labelled urls
-everything the rules leave open is allowed.
+repeated rows are judged each; of rules that fit the longest wins, no two are as long;
+other columns are ignored; without labelled urls everything the rules leave open is
+allowed; an empty table gives no rows.
 """
 
 from __future__ import annotations

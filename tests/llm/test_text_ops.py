@@ -191,6 +191,25 @@ def test_machine_learns_a_pair_whose_words_tell_nothing_alone(spark):
     assert len(got) > 700 and np.mean([r["predicted"] == labels[r["doc_id"]][2] for r in got]) > 0.9
 
 
+def test_empty_tables_give_no_rows(spark):
+    none, labels = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, 1, 0)], LABELS)
+    for out in (toxicity.toxicity_scores(none, toxicity.fit_toxicity(none, labels)),
+                quality_classifier.quality_scores(none, quality_classifier.fit_quality(none, labels)),
+                secret_scan.scan(none, secret_scan.fit(none)), quality_rules.apply_policy(quality_rules.ledger(none))):
+        assert out.count() == 0
+
+
+def test_classifiers_read_very_long_texts_whole(spark):
+    long = "clean words of prose " * 60_000
+    texts = ["you nitwit here" if i % 2 else "clean words of prose" for i in range(200)] + [long, long + " nitwit", "nitwit " + long]
+    df = spark.createDataFrame([(i, t, *[None] * 5) for i, t in enumerate(texts)], DOCS)
+    labels = spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(200)], LABELS)
+    toxic = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity_scores(df, toxicity.fit_toxicity(df, labels)).collect()}
+    assert [toxic[i] for i in (200, 201, 202)] == [0, 1, 1]
+    good = {r["doc_id"]: r["predicted"] for r in quality_classifier.quality_scores(df, quality_classifier.fit_quality(df, labels)).collect()}
+    assert good[200] == 1 and len(good) == len(texts)
+
+
 def test_a_labelled_id_of_many_rows_is_one_example(spark):
     texts = [f"text {i}" for i in range(300)] + ["word of its own"]
     df = spark.createDataFrame([(7 if i < 300 else 8, t, *[None] * 5) for i, t in enumerate(texts)], DOCS).repartition(4)
