@@ -273,8 +273,8 @@ _SQL_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 SQL_COLLOCATIONS = rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_SQL_LETTERS}),
                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM p),
-g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), i -> array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
       FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
 f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
