@@ -201,7 +201,7 @@ def test_empty_tables_give_no_rows(spark):
 
 def test_classifiers_read_very_long_texts_whole(spark):
     long = "clean words of prose " * 60_000
-    texts = ["you nitwit here" if i % 2 else "clean words of prose" for i in range(200)] + [long, long + " nitwit", "nitwit " + long]
+    texts = ["clean words of prose" + " nitwit" * (i % 2) for i in range(200)] + [long, long + " nitwit", "nitwit " + long]
     df = spark.createDataFrame([(i, t, *[None] * 5) for i, t in enumerate(texts)], DOCS)
     labels = spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(200)], LABELS)
     toxic = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity_scores(df, toxicity.fit_toxicity(df, labels)).collect()}
