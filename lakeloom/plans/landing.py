@@ -33,6 +33,7 @@ from . import medallion as M
 
 _WM = "__wm"
 _PK = "__pk"
+_ROW = "__row"
 
 
 def _typed_watermark(entity: Entity):
@@ -106,7 +107,9 @@ def extract_to_raw(spark: SparkSession, source: DataFrame, entity: Entity, raw_b
                                    cutoff=None if entity.watermark_type == "int"
                                    else parse_wm_literal(cutoff.isoformat(), entity),
                                    null_watermark=null_watermark)
-            order = [_WM] + ([_PK] if pks else [])
+            if not pks:  # rows of one watermark, maybe most of the table, may be parted by a hash
+                sliced = sliced.withColumn(_ROW, F.xxhash64(*source.columns))
+            order = [_WM, _PK if pks else _ROW]
         elif pks:
             sliced = cursor_filter(df, "initial", None, _PK, last_pk=last_pk if mode == "initial" else None)
             order = [_PK]
