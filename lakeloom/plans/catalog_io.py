@@ -190,7 +190,8 @@ SELECT COUNT(*) AS rows, COUNT(DISTINCT order_id || '/' || installments) AS dist
 def q_extract_payments(spark, sf):
     """First incremental extract on an integer watermark: no saved cursor, NULL watermarks included and counted."""
     base = scratch_path(spark, "payments")
-    extract_to_raw(spark, _payments(spark, sf), SOURCE_ENTITIES["order_payments"], f"{base}/raw", f"{base}/control",
+    _payments(spark, sf).write.parquet(f"{base}/source")  # an extract reads its source several times
+    extract_to_raw(spark, spark.read.parquet(f"{base}/source"), SOURCE_ENTITIES["order_payments"], f"{base}/raw", f"{base}/control",
                    "incremental", run_ts=RF.RUN1)
     raw = read_json_tree(spark, f"{base}/raw/order_payments", raw_schema("order_payments"))
     counted = control.table_status(spark, f"{base}/control/manifests").select("null_watermark_rows")

@@ -186,8 +186,9 @@ def _cursor_metrics(entity: Entity, pks: list[str], mode: str) -> list[Column]:
         present = present & F.col(c).isNotNull()
     best = F.max(F.when(present, F.struct(*([F.col(_WM).alias("wm")] if wm else []), *([F.col(_PK).alias("pk")] if pks else []))))
 
-    def said(key: Column) -> Column:  # a JSON list of the key's columns
-        return F.when(key.isNotNull(), F.to_json(F.array(*(key.getField(k).cast("string") for k in pks))))
+    def said(key: Column) -> Column:  # a JSON list of the key's columns; named once, as each naming is a maximum of its own
+        return F.get(F.transform(F.array(key), lambda x: F.when(
+            x.isNotNull(), F.to_json(F.array(*(x.getField(k).cast("string") for k in pks))))), F.lit(0))
     if not wm:
         last_wm = none
     elif entity.watermark_type == "int":
