@@ -134,11 +134,11 @@ def q_stream_latest(spark, sf):
     delivered again to a stream that has lost its checkpoint, change nothing."""
     base = scratch_path(spark, "stream_latest")
     loads = _versions(spark, sf)
-    for n, rows in enumerate((loads[2], loads[0], loads[1])):  # the newest first
-        rows.coalesce(1).write.json(f"{base}/raw/n={n}")
-    for checkpoint in ("ckpt", "ckpt_after_loss"):
-        source = read_json_stream(spark, f"{base}/raw", API_ORDERS, max_files_per_trigger=1)
-        TR.run_latest(source, M.silver_rule("orders"), f"{base}/silver", f"{base}/{checkpoint}", buckets=8)
+    for delivery in ("first", "after_loss"):
+        for n, rows in enumerate((loads[2], loads[0], loads[1])):  # the newest first; a load, of however many files, a batch
+            rows.write.json(f"{base}/raw_{delivery}/n={n}")
+            source = read_json_stream(spark, f"{base}/raw_{delivery}", API_ORDERS)
+            TR.run_latest(source, M.silver_rule("orders"), f"{base}/silver", f"{base}/ckpt_{delivery}", buckets=8)
     return read_keyed(spark, f"{base}/silver").select("order_id", "order_date", "status")
 
 
