@@ -147,11 +147,11 @@ def q_stream_first_keyed(spark, sf):
     """First arrival of each order, its lines arriving one number a batch, delivered twice: which row won."""
     base = scratch_path(spark, "stream_first_keyed")
     li = S.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    for n in range(1, 8):
-        li.filter(F.col("l_linenumber") == n).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    for checkpoint in ("ckpt", "ckpt_after_loss"):
-        source = read_parquet_stream(spark, f"{base}/in", li.schema, max_files_per_trigger=1)
-        TR.run_first(source, ["l_orderkey"], f"{base}/out", f"{base}/{checkpoint}", buckets=8)
+    for delivery in ("first", "after_loss"):
+        for n in range(1, 8):  # a number, of however many files, a batch
+            li.filter(F.col("l_linenumber") == n).write.mode("append").parquet(f"{base}/in_{delivery}")
+            source = read_parquet_stream(spark, f"{base}/in_{delivery}", li.schema)
+            TR.run_first(source, ["l_orderkey"], f"{base}/out", f"{base}/ckpt_{delivery}", buckets=8)
     return read_keyed(spark, f"{base}/out").select("l_orderkey", "l_linenumber")
 
 
