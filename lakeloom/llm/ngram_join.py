@@ -8,12 +8,16 @@ own l from the estimated number of candidates its prefix brings; a pair is
 verified only if the two prefixes share min(l, l') tokens.
 
 * ``classes``: equal sets collapse to one class (64-bit fingerprint).
-* ``token_counts``: counts of *all* tokens of all documents. Two summaries of
-  proven size go to the tasks: the most frequent tokens (``FREQUENT`` at most),
-  which shape the order and the estimates (any order gives the same, whole
-  result), and a bitmap of ``BITMAP_BITS`` at most that holds every repeated
-  token, so that tokens outside it, which surely stand alone, are not sent.
+* ``token_counts``: counts of *all* tokens of all documents. Three summaries of
+  proven size go to the tasks: the most frequent tokens (``FREQUENT`` at most) and
+  a bitmap of the next frequent ones, which shape the order and the estimates
+  (any order gives the same, whole result), and a bitmap of ``BITMAP_BITS`` at most
+  that holds every repeated token, so that tokens outside it, which surely stand
+  alone, are not sent. In a large corpus that bitmap fills up and few tokens are
+  outside it; the prefixes are therefore shuffled once and stored only as far as
+  they are live.
 * ``live_postings``: prefix tokens found in two or more classes.
+* ``possible_postings``: those of classes that can share enough tokens with another.
 * ``linked_components``: rounds link the members of every posting list to one
   member of it (linear in the list). Only classes still in different components
   are compared with each other afterwards, in short lists pair by pair, in long
@@ -29,16 +33,18 @@ doc_id there is in it (null if none). Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import (
     batches_of,
     connected,
+    discard,
     lower_ascii,
     mix64,
     release,
@@ -56,6 +62,7 @@ SETS_BITS = 1 << 26
 MAX_MATCH = 8
 VERIFY_COST = 20.0
 STAR_ROUNDS = 2
+PRUNE_ROUNDS = 2
 #: Posting lists up to this length are compared pair by pair, longer ones block by block.
 SMALL = 16
 BLOCK = 256
@@ -126,17 +133,27 @@ def _summed(parts):
     return key, np.bincount(where, weights=cnt).astype(np.int64)
 
 
+def _bits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """1 for each uint32 key that is in the bitmap, else 0."""
+    at = keys & np.uint32(len(bitmap) * 8 - 1)
+    return (bitmap[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & np.uint8(1)).astype(np.int64)
+
+
 class TokenCounts:
-    """What the tasks get: sorted frequent keys with their counts, and the bitmap of repeated keys."""
+    """What the tasks get: sorted frequent keys with their counts, the bitmap of repeated keys, and that
+    of keys found ``often`` times or more, if there is one."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, bitmap: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, bitmap: np.ndarray,
+                 often: int = 0, often_bitmap: np.ndarray | None = None):
         self.keys, self.counts, self.bitmap = keys, counts, bitmap
+        self.often, self.often_bitmap = often, often_bitmap
 
     def estimate(self, tokens: np.ndarray) -> np.ndarray:
-        """Count of each token; 1 for a token that surely stands alone, 2 for a repeated one not among the frequent."""
+        """Count of each token; 1 for a token that surely stands alone, ``often`` or 2 for a repeated one not among the frequent."""
         top = (tokens >> np.uint64(32)).astype(np.uint32)
-        at = top & np.uint32(len(self.bitmap) * 8 - 1)
-        out = 1 + (self.bitmap[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & np.uint8(1)).astype(np.int64)
+        out = 1 + _bits(self.bitmap, top)
+        if self.often_bitmap is not None:
+            out = np.where(_bits(self.often_bitmap, top) == 1, self.often, out)
         if len(self.keys):
             where = np.minimum(np.searchsorted(self.keys, top), len(self.keys) - 1)
             out = np.where(self.keys[where] == top, self.counts[where], out)
@@ -160,7 +177,8 @@ def token_counts(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> T
 
     Tokens travel as sorted arrays, one row per range of tokens and some million
     tokens. The frequent ones are all those of a count at which no more
-    than ``keep`` tokens are as frequent.
+    than ``keep`` tokens are as frequent; the next frequent ones those of a count
+    at which a bitmap of ``BITMAP_BITS`` has 16 bits a token.
     """
     ranges = 1024
 
@@ -208,17 +226,25 @@ def token_counts(docs: DataFrame, words: int = WORDS, keep: int = FREQUENT) -> T
     found = stored(docs.select(F.col("text").cast("string")).mapInArrow(count, "part int, keys binary, counts binary")
                    .repartition(spread, "part").mapInArrow(add, "key long, n long"), "ngram-counts")
     level = F.floor(8 * F.log2("n")).cast("int")
-    above, least = 0, None
-    for row in found.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # some 400 levels
+    levels = found.groupBy(level.alias("level")).agg(F.count("*").alias("count"), F.min("n").alias("n")).orderBy(F.desc("level")).collect()  # some 400
+    least = often = None
+    above = 0
+    for row in levels:
         above += row["count"]
-        if above > keep:
-            break
-        least = row["level"]
+        if above <= keep:
+            least = row["level"]
+        if above <= BITMAP_BITS // 16:
+            often = row
     rows = found.filter(level >= least).toPandas() if least is not None else found.limit(0).toPandas()
     key = rows["key"].to_numpy(np.uint64).astype(np.uint32)
     order = np.argsort(key)
-    return TokenCounts(key[order], rows["n"].to_numpy(np.int64)[order],
-                       _bitmap(found.select(F.col("key").alias("id")), BITMAP_BITS))
+    ids = found.select(F.col("key").alias("id"), level.alias("level"))
+    more = {}
+    if often is not None and often["level"] not in (least, levels[-1]["level"]):  # else the others tell as much
+        more = {"often": often["n"], "often_bitmap": _bitmap(ids.filter(F.col("level") >= often["level"]).select("id"), BITMAP_BITS)}
+    out = TokenCounts(key[order], rows["n"].to_numpy(np.int64)[order], _bitmap(ids.select("id"), BITMAP_BITS), **more)
+    discard(found)
+    return out
 
 
 def choose_prefix(df: np.ndarray, need: int, max_match: int = MAX_MATCH, verify: float = VERIFY_COST) -> tuple[int, int]:
@@ -240,7 +266,10 @@ def choose_prefix(df: np.ndarray, need: int, max_match: int = MAX_MATCH, verify:
 
 def live_postings(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                   counts: TokenCounts | None = None) -> DataFrame:
-    """(token, cls, n, l) for prefix tokens that two or more classes have."""
+    """(token, cls, n, l, least) for prefix tokens that two or more classes have; least is the smallest l of them.
+
+    Most prefix tokens of a large corpus stand alone: they pass through one shuffle and no table.
+    """
     counts = counts or token_counts(docs, words)
 
     def run(rows):
@@ -264,11 +293,32 @@ def live_postings(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         if held:
             yield from out()
 
-    posts = stored(docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, cls long, n int, l int"),
-                   "ngram-prefix-tokens")
-    shared = (posts.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
-              .filter("lo <> hi").select("token"))
-    return posts.join(shared, "token", "left_semi").distinct()
+    posts = docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, cls long, n int, l int")
+    return _shared(posts).distinct()  # dealt by token already
+
+
+def _shared(posts: DataFrame) -> DataFrame:
+    """(token, cls, n, l, least): postings of tokens that two or more classes have."""
+    here = Window.partitionBy("token")
+    return (posts.select("token", "cls", "n", "l", F.min("l").over(here).alias("least"),
+                         F.min("cls").over(here).alias("lo"), F.max("cls").over(here).alias("hi"))
+            .filter("lo <> hi").drop("lo", "hi"))
+
+
+def possible_postings(posts: DataFrame, rounds: int = PRUNE_ROUNDS) -> DataFrame:
+    """``posts`` (stored; removed) without classes that are in no pair whatever the others' tokens are.
+
+    A pair shares v = min(l, l') tokens, each in a list whose smallest l is v or less. So a
+    class without v such tokens for any v has no partner, and its postings only make others'
+    lists longer. Each round takes out what the one before has laid bare.
+    """
+    for _ in range(rounds):
+        enough = functools.reduce(Column.__or__, (F.count_if(F.col("least") <= v) >= v for v in range(1, MAX_MATCH + 1)))
+        some = posts.groupBy("cls").agg(enough.alias("enough")).filter("enough").select("cls")
+        left = stored(_shared(posts.join(some, "cls", "left_semi")), "ngram-postings")
+        discard(posts)
+        posts = left
+    return posts
 
 
 def live_sets(docs: DataFrame, live: DataFrame, words: int = WORDS) -> DataFrame:
@@ -308,7 +358,7 @@ def _sizes_fit(a, b, percent: int):
 
 
 def verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) that share min(l, l') prefix tokens and are similar enough: (a, b)."""
+    """Pairs (a, b) that share min(l, l') prefix tokens and are similar enough: (a, b), stored."""
     side = lambda df, name, cols: df.select(F.col("cls").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in cols))
     few = (pairs.join(side(prefixes, "a", ("l", "prefix")), "a").join(side(prefixes, "b", ("l", "prefix")), "b")
            .filter(F.size(F.array_intersect("a_prefix", "b_prefix")) >= F.least("a_l", "b_l")).select("a", "b"))
@@ -326,24 +376,29 @@ def verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, percent: in
     both = few.join(side(sets, "a", ("tokens",)), "a").join(side(sets, "b", ("tokens",)), "b")
     same = F.size(F.array_intersect("a_tokens", "b_tokens"))
     total = F.size("a_tokens") + F.size("b_tokens")
-    return both.filter(100 * same >= percent * (total - same)).select("a", "b")
+    out = stored(both.filter(100 * same >= percent * (total - same)).select("a", "b"), "ngram-links")
+    discard(few)
+    return out
 
 
 def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                       rounds: int = STAR_ROUNDS) -> DataFrame:
     """(cls, comp) of all classes that have a shared prefix token; others are alone."""
-    posts = stored(live_postings(docs, words, percent), "ngram-postings")
+    posts = possible_postings(stored(live_postings(docs, words, percent), "ngram-live"))
     prefixes = stored(posts.groupBy("cls").agg(F.first("n").alias("n"), F.first("l").alias("l"),
                                                F.collect_list("token").alias("prefix")), "ngram-prefixes")
     sets = stored(live_sets(docs, prefixes, words), "ngram-sets")
-    comps = prefixes.select("cls", F.col("cls").alias("comp"))
+    comps = stored(prefixes.select("cls", F.col("cls").alias("comp")), "ngram-comps")
 
     def merged(edges: DataFrame) -> DataFrame:
+        """``comps`` (removed) with those that an edge joins made one."""
         where = lambda c: comps.select(F.col("cls").alias(c), F.col("comp").alias(f"{c}_comp"))
         links = edges.join(where("a"), "a").join(where("b"), "b").select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
         labels = connected(links, comps.select(F.col("comp").alias("node")).distinct(), "ngram-comps")
-        return stored(comps.join(labels.withColumnRenamed("node", "comp"), "comp")
-                      .select("cls", F.col("label").alias("comp")), "ngram-comps")
+        out = stored(comps.join(labels.withColumnRenamed("node", "comp"), "comp")
+                     .select("cls", F.col("label").alias("comp")), "ngram-comps")
+        discard(comps, labels)
+        return out
 
     for k in range(rounds):
         here = posts.join(comps, "cls")
@@ -352,10 +407,13 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
             F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "hub")
         pairs = (here.join(hub, "token").filter((F.col("comp") != F.col("hub.comp")) & _sizes_fit(F.col("n"), F.col("hub.n"), percent))
                  .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct())
-        edges = stored(verified(pairs, prefixes, sets, percent), "ngram-links")
-        if edges.isEmpty():
+        edges = verified(pairs, prefixes, sets, percent)
+        none = edges.isEmpty()
+        if not none:
+            comps = merged(edges)
+        discard(edges)
+        if none:
             break
-        comps = merged(edges)
 
     here = posts.join(comps, "cls")
     mixed = (here.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
@@ -367,11 +425,14 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
                     & (F.col("a.comp") != F.col("b.comp")) & _sizes_fit(F.col("a.n"), F.col("b.n"), percent))
              .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
     large = here.filter(F.col("size") > SMALL)
-    edges = verified(pairs, prefixes, sets, percent)
+    made = [verified(pairs, prefixes, sets, percent)]
     if not large.isEmpty():
-        edges = edges.union(block_links(large, prefixes, sets, percent))
-    edges = stored(edges, "ngram-links")
-    return comps if edges.isEmpty() else merged(edges)
+        made.append(block_links(large, prefixes, sets, percent))
+    edges = functools.reduce(DataFrame.union, made)
+    if not edges.isEmpty():
+        comps = merged(edges)
+    discard(posts, prefixes, sets, here, *made)
+    return comps
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -414,7 +475,7 @@ def _block_pairs(large: DataFrame, home: DataFrame) -> DataFrame:
 
 
 def block_links(large: DataFrame, prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among classes that share a token of a long posting list; enough of them to join their components.
+    """Links (a, b), stored, among classes that share a token of a long posting list; enough of them to join their components.
 
     A class lives in a block of some ``BLOCK`` classes of its longest list. Blocks
     that have a token in common are compared as wholes: the prefixes of both
@@ -479,8 +540,9 @@ def block_links(large: DataFrame, prefixes: DataFrame, sets: DataFrame, percent:
                     out_b.append(int(b[k]))
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    return (found.groupBy("x", "y").cogroup(wanted.groupBy("u", "v"))
-            .applyInArrow(links, "a long, b long"))
+    out = stored(found.groupBy("x", "y").cogroup(wanted.groupBy("u", "v")).applyInArrow(links, "a long, b long"), "ngram-links")
+    discard(member, found)
+    return out
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -116,3 +117,64 @@ def test_prefix_grows_with_cost(df, need, longer):
     match, length = choose_prefix(np.array(df), need)
     assert length == len(df) - need + match
     assert (match > 1) == longer
+
+
+def full_bitmap(*_):
+    """Counts of a corpus so large that every token looks like a repeated one."""
+    from lakeloom.llm.ngram_join import TokenCounts
+    return TokenCounts(np.zeros(0, np.uint32), np.zeros(0, np.int64), np.full(4096, 255, np.uint8))
+
+
+def test_a_full_bitmap_stores_no_lone_classes(spark, monkeypatch):
+    """Texts that have a few tokens in common with others, too few for a pair, bring no postings and no sets."""
+    from lakeloom.llm import ngram_join
+    rows, tables = corpus(), {}
+    real = ngram_join.stored
+
+    def noted(df, name):
+        out = real(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(ngram_join, "token_counts", full_bitmap)
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    quote = " ".join(f"q{i}" for i in range(6))  # two tokens that all of these share
+    rows += [(1000 + k, " ".join(f"u{k}x{i}" for i in range(100)) + " " + quote) for k in range(60)]
+    assert run(spark, rows) == brute(rows)
+    assert tables["ngram-sets"][0] < 60
+    assert sum(tables.get("ngram-prefix-tokens", [])) == 0
+
+
+def test_tables_go_when_they_are_done(spark):
+    from lakeloom import session
+    names = lambda: set(session.list_names(spark, f"{session.checkpoint_root(spark)}/lakeloom"))
+    df = spark.createDataFrame([(d, t, "x", "y") for d, t in corpus()], SCHEMA).repartition(3)
+    before = names()
+    ngram_jaccard_join(df)
+    assert {n.rsplit("-", 1)[0] for n in names() - before} == {"ngram-classes", "ngram-comps"}
+
+
+def test_shuffles_of_a_stored_table_go_with_its_write(spark):
+    from lakeloom.llm.common import stored
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {x for i in range(files.size()) if "shuffle_" in (x := files.apply(i).getName())}
+    before = shuffles()
+    rows = stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "test-shuffles")
+    assert not shuffles() - before
+    assert rows.count() == 7
+
+
+def test_often_repeated_tokens_beyond_the_frequent_are_known(spark, monkeypatch):
+    from lakeloom.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "BITMAP_BITS", 1 << 15)
+    rows = [(i, f"a{i // 2} b c d {i // 2}") for i in range(5000)]  # 2,500 tokens found twice, in texts that differ
+    rows = [(i, f"{t} tail{i}") for i, t in rows]
+    rows += [(10000 + i, f"l{i % 4} m n o p e{i}") for i in range(400)]  # 4 tokens found 100 times
+    rows += [(20000 + i, f"r s t u v e{i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = ngram_join.token_counts(df, keep=1)
+    tokens = lambda text: next(iter(ngram_join.shingle_sets(pa.array([text]))))[1]
+    est = {t: int(counts.estimate(tokens(t))[0]) for t in ("a7 b c d 7", "l2 m n o p", "r s t u v", "z z y y x")}
+    assert est["r s t u v"] == 900 and est["l2 m n o p"] > 50 and est["a7 b c d 7"] == 2
