@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontamination, ngram_join, packing, quality_classifier, secret_scan
-from lakeloom.llm.common import small_batches, stored, table
+from lakeloom.llm.common import discard, small_batches, stored, table
 from lakeloom.llm.queries import tokenizer_files
 
 
@@ -56,8 +56,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage has read is removed once its own rows are written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"corpus-{name}")
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -545,8 +545,8 @@ def block_links(large: DataFrame, prefixes: DataFrame, sets: DataFrame, percent:
     return out
 
 
-def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, comp): one row per row of ``docs``; comp is null for empty sets."""
+def _joined(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """What ``ngram_jaccard_join`` returns, and the stored tables that it is read from."""
     own = stored(classes(docs, words), "ngram-classes")
     comps = linked_components(docs, words, percent)
     group = (own.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
@@ -555,7 +555,12 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     named = group.join(least, "comp").select("cls", "component_id", "comp")
     return own.join(named, "cls", "left").select(
         "doc_id", "text_hash", "n_shingles",
-        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp")
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp"), [own, comps]
+
+
+def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, comp): one row per row of ``docs``; comp is null for empty sets."""
+    return _joined(docs, words, percent)[0]
 
 
 def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -564,12 +569,15 @@ def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int =
     Rows without words all stay. A row is named by doc_id and the hash of its
     text; of rows equal in both, one stays.
     """
-    found = stored(ngram_jaccard_join(docs, words, percent).filter("comp is not null")
+    rows, read = _joined(docs, words, percent)
+    found = stored(rows.filter("comp is not null")
                    .select("comp", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash").alias("row")), "ngram-rows")
+    discard(*read)
     keep = found.groupBy("comp").agg(F.min("row").alias("row"))
     away = stored(found.distinct().join(keep, ["comp", "row"], "left_anti").select("row"), "ngram-away")
     again = stored(found.groupBy("comp", "row").count().filter("count > 1").join(keep, ["comp", "row"], "left_semi")
                    .select("row"), "ngram-again")
+    discard(found)
     name = F.struct(F.col("doc_id").cast("long").isNull().alias("no"), F.col("doc_id").cast("long").alias("doc_id"),
                     F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     cols = docs.columns

@@ -80,3 +80,20 @@ def test_pipeline_matches_brute_force(spark, tmp_out):
     assert {r["doc_id"] for r in out} == {r[0] for r in clean}
     assert sum(r["length"] for r in out) == sum(r["doc_tokens"] for r in out if r["start"] == 0)
     assert ngram_join.WORDS == 5 and secret_scan.KINDS[0] == "assign"
+
+
+def test_what_a_stage_has_read_goes(spark, tmp_out, monkeypatch):
+    """Only the rows that the last stage reads, and what near_duplicates still reads when its rows are written, stay on disk."""
+    from lakeloom.session import checkpoint_root, list_names
+    all_names = lambda: set(list_names(spark, f"{checkpoint_root(spark)}/lakeloom"))
+    sf = tmp_out("sf")
+    spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e  f"), (3, "u v w x y z")], "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    before = all_names()
+    clean = ngram_join.without_near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert {n.rsplit("-", 1)[0] for n in all_names() - before} == {"ngram-away", "ngram-again"}
+    assert sorted(r["doc_id"] for r in clean.collect()) == [1, 3]
+    same = lambda spark, docs, sf_dir: docs
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", same), ("two", same), ("three", same), ("four", same)])
+    before = all_names()
+    assert corpus_pipeline.run(spark, sf).count() == 3
+    assert {n.rsplit("-", 1)[0] for n in all_names() - before} == {"corpus-three"}
