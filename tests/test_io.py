@@ -233,3 +233,20 @@ def test_pipeline_without_feeds_and_with_an_empty_one(spark, tmp_out):
     assert export_gold(spark, f"{base}/lake", f"{base}/out") == ["fact_orders", "fact_sales", "daily_revenue_mart"]
     got = spark.read.parquet(f"{base}/out/fact_sales").collect()
     assert [(r.order_id, r.channel, r.total_amount) for r in got] == [("1", "online", 2.5)]
+
+
+def test_clustering_finds_buckets_in_generated_code(spark):
+    """No lambda is interpreted row by row, and a row's bucket is that of its key's number: texts, dates, nulls."""
+    rows = [(t, d, x) for t in (None, "", "a", "a\0", "a\0\0b", "k00012", "k00012 and more", "日本語", "zzzzzzz")
+            for d in (None, dt.date(1969, 12, 31), dt.date(2024, 5, 6)) for x in (None, -1.5, 0.0, float("nan"))]
+    df = spark.createDataFrame(rows, "t string, d date, x double")
+    edges = {"t": ["", "a", "k00012", "k00013"], "d": [dt.date(1969, 12, 31), dt.date(2024, 5, 7)], "x": [-1.5, 0.5]}
+    for key, values in edges.items():
+        some = spark.createDataFrame([(v,) for v in values], f"{key} {dict(df.dtypes)[key]}")
+        cuts = sorted(r[0] for r in some.select(W._as_number(some, key)).collect())
+        got = W._with_bucket(df.withColumn("n", W._as_number(df, key)), key, cuts, 3, "b")
+        assert "lambdafunction" not in got._jdf.queryExecution().optimizedPlan().toString()
+        for r in got.collect():
+            assert r["b"] == (0 if r["n"] is None else sum(c <= r["n"] or r["n"] != r["n"] for c in cuts)), r
+    plan = W.cluster_by(df, ["t", "d"], 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
