@@ -114,6 +114,8 @@ class LineRuns:
         while len(self._of("open", level)) >= self.fanout:
             self.compact(self._of("open", level), level + 1)
             level += 1
+            if len(self._of("open", level)) < 2:  # a run alone comes from a merge: with a fanout of 1 it would rise for ever
+                break
 
     def compact(self, runs: list[Run], level: int) -> None:
         """One open run of ``level`` from ``runs``; keys that have reached ``min_docs`` become a settled run."""
